@@ -157,13 +157,8 @@ def within_fences() -> Column:
     return ok
 
 
-def quality_verdicts(docs: DataFrame, carry: list[str], how: Fences = Fences(), text: str = "text") -> DataFrame:
-    """The columns ``carry`` and :data:`BASE`, ``base_failed``, ``kept``: a row for each row of ``docs``, which needs ``lang`` and ``source``.
-
-    ``kept`` is false where a base rule fails, else true where every metric lies within the fences of the row's language and source.
-    Null, empty or blank text has no words and fails. A null language or source is a group of its own. Repeated rows each count
-    and come back; an empty table gives an empty one. Carried columns go through as ``_c<i>``, so their names can't clash.
-    """
+def _judged(docs: DataFrame, carry: list[str], how: Fences, text: str) -> DataFrame:
+    """The carried columns as ``_c<i>`` beside measures, ``base_failed`` and ``kept``."""
     ws = Workspace(docs.sparkSession, "quality")
     held = docs.select(*[F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(carry)], F.col("lang").alias("lang"), F.col("source").alias("source"), F.col(text).alias("_q_text"))
     measured = ws.save(with_base_measures(held, "_q_text").drop("_q_text"), "measured")
@@ -172,4 +167,21 @@ def quality_verdicts(docs: DataFrame, carry: list[str], how: Fences = Fences(),
     same = F.col("lang").eqNullSafe(F.col("f_lang")) & F.col("source").eqNullSafe(F.col("f_source"))
     judged = measured.join(F.broadcast(fences) if small else fences, same, "left").withColumn("base_failed", base_failed())
     judged = judged.withColumn("kept", ~F.col("base_failed") & within_fences())
+    return judged
+
+
+def quality_verdicts(docs: DataFrame, carry: list[str], how: Fences = Fences(), text: str = "text") -> DataFrame:
+    """The columns ``carry`` and :data:`BASE`, ``base_failed``, ``kept``: a row for each row of ``docs``, which needs ``lang`` and ``source``.
+
+    ``kept`` is false where a base rule fails, else true where every metric lies within the fences of the row's language and source.
+    Null, empty or blank text has no words and fails. A null language or source is a group of its own. Repeated rows each count
+    and come back; an empty table gives an empty one. Carried columns go through as ``_c<i>``, so their names can't clash.
+    """
+    judged = _judged(docs, carry, how, text)
     return judged.select(*[F.col(f"_c{i}").alias(c) for i, c in enumerate(carry)], *BASE, "base_failed", "kept")
+
+
+def keep_good(docs: DataFrame, how: Fences = Fences(), text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that :func:`quality_verdicts` keeps, with all their columns in order, whatever their names."""
+    names = docs.columns
+    return _judged(docs, names, how, text).where("kept").select(*[F.col(f"_c{i}") for i in range(len(names))]).toDF(*names)

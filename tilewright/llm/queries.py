@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tilewright.llm import bpe_codec, packing, quality_rules, secret_scan, token_counts, token_records, url_filter, warc
+from tilewright.llm import bpe_codec, nn_descent, order_minhash, packing, quality_rules, secret_scan, token_counts, token_records, url_filter, warc
 from tilewright.llm.sql import QUALITY_SQL, URL_SQL, WARC_SQL
 
 RULES = [url_filter.Rule("block", "net/"), url_filter.Rule("allow", "example.net/en/"), url_filter.Rule("block", "example.com/de/"), url_filter.Rule("allow", "org/fr/")]
@@ -38,11 +39,22 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), ["doc_id"], public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op5_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class of every document."""
+    classes = order_minhash.near_classes(table(spark, sf_dir, "documents"))
+    return classes.withColumn("kept", classes["doc_id"].eqNullSafe(classes["class_id"]))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base measures and verdict of every document."""
     return quality_rules.quality_verdicts(table(spark, sf_dir, "documents"), ["doc_id"])
 
 
+def op7_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links, component and decision of every vector."""
+    return nn_descent.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op8_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids written as binary records and read back."""
     return token_records.write_and_read(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
@@ -59,8 +71,8 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_url_filter, op2_warc, op3_byte_bpe, op4_token_counts, op6_quality_rules, op8_token_records, op9_packing, op10_secret_scan]
-    return {f.__name__: f for f in found}
+    found = [op1_url_filter, op2_warc, op3_byte_bpe, op4_token_counts, op5_order_minhash, op6_quality_rules, op7_nn_descent, op8_token_records, op9_packing, op10_secret_scan]
+    return {f.__name__: f for f in found} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
