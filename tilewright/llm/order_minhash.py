@@ -166,46 +166,67 @@ def aligned(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
     return len(x) - bits.bit_count() >= need
 
 
-def collapse(ws: Workspace, docs: DataFrame, key: str, text: str, how: Near) -> tuple[DataFrame, DataFrame]:
-    """Every row's ``(doc, copy)`` and one row ``(doc, n, shingles, keys)`` for each distinct text with words.
+#: Lists of up to so many ids (16 MB) are sent to every task as a filter; longer ones are joined by a shuffle.
+SENT_IDS = 1_000_000
 
-    ``copy`` is a 128-bit hash of the normalised words. A text without words is a copy of nothing. Sketches are made for one text of each
-    kind. Shingles travel as the raw bytes of their 64-bit hashes.
+
+def only(df: DataFrame, ids: DataFrame, column: str) -> DataFrame:
+    """The rows of ``df`` whose ``column`` is in ``ids(id)``."""
+    small = ids.count() <= SENT_IDS
+    return df.join(F.broadcast(ids) if small else ids, F.col(column) == F.col("id"), "left_semi")
+
+
+def collapse(ws: Workspace, docs: DataFrame, how: Near) -> tuple[DataFrame, DataFrame]:
+    """From ``docs(doc, text)`` every row's ``(doc, first)`` and one row ``(doc, n, keys)`` for each distinct text with words.
+
+    ``first`` is the smallest id among copies, found by a 128-bit hash of the normalised words; a text without words is a copy of nothing.
+    ``n`` counts shingles and ``keys`` are the sketches. No text is moved.
     """
-    held = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
 
     def hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rows = []
+            copies, counts, keys = [], [], []
             for t in pdf["text"]:
                 words = words_of(t if isinstance(t, str) else None)
-                rows.append((hashlib.blake2b("\n".join(words).encode("utf-8", "surrogatepass"), digest_size=16).digest() if words else None, shingle_hashes(words, how.words).tobytes()))
-            yield pdf[["doc"]].assign(copy=[r[0] for r in rows], shingles=[r[1] for r in rows])
+                marks = shingle_hashes(words, how.words)
+                copies.append(hashlib.blake2b("\n".join(words).encode("utf-8", "surrogatepass"), digest_size=16).digest() if words else None)
+                counts.append(len(marks))
+                keys.append(sketch(marks, how))
+            yield pdf[["doc"]].assign(copy=copies, n=counts, keys=keys)
+
+    raw = ws.save(docs.mapInPandas(hashes, "doc long, copy binary, n long, keys array<long>"), "hashed")
+    firsts = raw.where("copy is not null").groupBy("copy").agg(F.min("doc").alias("doc"), F.min("n").alias("n"), F.min("keys").alias("keys"))  # copies have equal keys
+    sketches = ws.save(firsts, "sketches")
+    rows = ws.save(raw.select("doc", "copy").join(sketches.select("copy", F.col("doc").alias("first")), "copy", "left").select("doc", "first"), "rows")
+    ws.drop("hashed")
+    return rows, sketches
+
 
-    raw = ws.save(held.mapInPandas(hashes, "doc long, copy binary, shingles binary"), "hashed")
-    firsts = raw.where("copy is not null").groupBy("copy").agg(F.min("doc").alias("doc"), F.min("shingles").alias("shingles"))  # copies have equal shingles
+def shingled(ws: Workspace, docs: DataFrame, ids: DataFrame, how: Near) -> DataFrame:
+    """``(doc, shingles)`` of the rows whose id is in ``ids(id)``: raw bytes of the 64-bit hashes, in the order of the text."""
 
-    def keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            yield pdf.assign(keys=[sketch(np.frombuffer(s, np.uint64), how) for s in pdf["shingles"]])
+            yield pdf[["doc"]].assign(shingles=[shingle_hashes(words_of(t if isinstance(t, str) else None), how.words).tobytes() for t in pdf["text"]])
 
-    texts = ws.save(firsts.mapInPandas(keys, "copy binary, doc long, shingles binary, keys array<long>"), "texts")
-    rows = ws.save(raw.select("doc", "copy").join(texts.select("copy", F.col("doc").alias("first")), "copy", "left").select("doc", "first"), "rows")
-    ws.drop("hashed")
-    return rows, texts
+    return ws.save(only(docs, ids, "doc").mapInPandas(run, "doc long, shingles binary"), "texts")
 
 
-def verify(pairs: DataFrame, texts: DataFrame, how: Near) -> DataFrame:
-    """``(u, v, near)`` for each row of ``pairs(u, v)``: both texts' shingles are joined to the pair and aligned."""
-    left = texts.select(F.col("doc").alias("u"), F.col("shingles").alias("a"))
-    right = texts.select(F.col("doc").alias("v"), F.col("shingles").alias("b"))
+def verify(ws: Workspace, pairs: DataFrame, texts: DataFrame, how: Near, name: str) -> DataFrame:
+    """``(u, v)`` of the rows of ``pairs(u, v)`` whose texts align; only texts that a pair names are moved."""
+    pairs = ws.save(pairs, f"{name}-pairs")
+    needed = only(texts, pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct(), "doc")
+    left = needed.select(F.col("doc").alias("u"), F.col("shingles").alias("a"))
+    right = needed.select(F.col("doc").alias("v"), F.col("shingles").alias("b"))
 
     def align(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             near = [aligned(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64), how.similarity) for a, b in zip(pdf["a"], pdf["b"])]
-            yield pdf[["u", "v"]].assign(near=near)
+            yield pdf.loc[near, ["u", "v"]]
 
-    return pairs.join(left, "u").join(right, "v").mapInPandas(align, "u long, v long, near boolean")
+    found = ws.save(pairs.join(left, "u").join(right, "v").mapInPandas(align, "u long, v long"), name)
+    ws.drop(f"{name}-pairs")
+    return found
 
 
 def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", how: Near = Near()) -> DataFrame:
@@ -213,17 +234,19 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", how:
 
     Links join copies (equal words) and texts whose aligned similarity is ``how.similarity`` or more and that share a sketch: at 0.8,
     all but about one pair in a million. Null, empty and wordless texts link with nothing and are their own class; rows with a null key get
-    a null class. Repeated rows come back each, an empty table gives an empty one.
+    a null class. Rows that share a key share its class, and come back each; an empty table gives an empty one.
     """
     ws = Workspace(docs.sparkSession, "near")
-    rows, texts = collapse(ws, docs, key, text, how)
-    n_marks = (F.octet_length("shingles") / 8).cast("long")
-    slots = texts.select("doc", n_marks.alias("n"), F.explode(F.array_distinct("keys")).alias("bucket"))
+    held = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
+    rows, sketches = collapse(ws, held, how)
+    slots = sketches.where("doc is not null").select("doc", "n", F.explode(F.array_distinct("keys")).alias("bucket"))
     shared = slots.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     members = ws.save(slots.join(shared, "bucket"), "members")
     # A text that many others resemble shares most buckets with them: it is the centre to try first.
     weight = members.groupBy("doc").agg(F.sum("size").alias("weight"))
     members = ws.save(members.drop("size").join(weight, "doc").withColumn("class", F.col("doc")), "members-0")
+    ws.drop("members")
+    texts = shingled(ws, held, members.select(F.col("doc").alias("id")).distinct(), how)
     edges, k = None, 0
     while True:
         # A class is tried by the member that this round's order puts first; texts of the centre's own class have no need to be compared.
@@ -232,8 +255,7 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", how:
         apart = members.join(lead, "bucket").where("class <> c.class")
         fits = F.least(F.col("n"), F.col("c.n")) >= how.similarity * F.greatest(F.col("n"), F.col("c.n"))
         pairs = apart.where(fits).select(F.least("doc", "c.doc").alias("u"), F.greatest("doc", "c.doc").alias("v")).distinct()
-        done = ws.save(verify(pairs, texts, how), f"verified-{k}")
-        near = done.where("near").select("u", "v")
+        near = verify(ws, pairs, texts, how, f"verified-{k}")
         edges = near if edges is None else edges.union(near)
         classes = connected_components(ws, edges, f"cc-{k}")
         # The centre has met every text of its bucket: it leaves the bucket, and a bucket with one class left is settled.
@@ -268,7 +290,7 @@ def exact_rest(ws: Workspace, members: DataFrame, texts: DataFrame, how: Near) -
     met = placed.join(right, ["bucket", "step"]).where((F.col("class") != F.col("other_class")) & (F.col("doc") != F.col("other")))
     met = met.where(F.least("n", "m") >= how.similarity * F.greatest("n", "m"))
     pairs = met.select(F.least("doc", "other").alias("u"), F.greatest("doc", "other").alias("v")).distinct()
-    return ws.save(verify(pairs, texts, how), "verified-rest").where("near").select("u", "v")
+    return verify(ws, pairs, texts, how, "verified-rest")
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", how: Near = Near()) -> DataFrame:
