@@ -37,8 +37,8 @@ class Near:
 
     words: int = 5
     similarity: float = 0.8
-    sketches: int = 24
-    members: int = 4
+    sketches: int = 40
+    members: int = 6
     seed: int = 20_240_229
 
 
@@ -95,15 +95,7 @@ def sketch(shingles: np.ndarray, how: Near) -> np.ndarray:
     if n <= m:
         picks = np.broadcast_to(np.arange(n), (how.sketches, n))
     else:
-        best, where = None, None
-        for a in range(0, n, BLOCK):  # the least of each block meet the least so far
-            h = mix(marks[a : a + BLOCK][None, :] ^ salts[:, None])
-            at = np.broadcast_to(np.arange(a, a + h.shape[1]), h.shape)
-            if best is not None:
-                h, at = np.concatenate([best, h], axis=1), np.concatenate([where, at], axis=1)
-            least = np.argpartition(h, m - 1, axis=1)[:, :m]
-            best, where = np.take_along_axis(h, least, 1), np.take_along_axis(at, least, 1)
-        picks = np.sort(where, axis=1)  # the order of the text
+        picks = least_places(marks, salts, m)
     key = salts.copy()
     with np.errstate(over="ignore"):
         for j in range(picks.shape[1]):
@@ -111,6 +103,34 @@ def sketch(shingles: np.ndarray, how: Near) -> np.ndarray:
     return key.view(np.int64)
 
 
+def least_places(marks: np.ndarray, salts: np.ndarray, m: int) -> np.ndarray:
+    """For each salt the places of the ``m`` marks with least hash, in the order of the text.
+
+    Only hashes under a bound that a few times ``m`` of them pass are looked at further; a salt for which too few pass sorts them all.
+    """
+    n = len(marks)
+    bound = np.uint64(min(2**64 - 1, int((4 * m + 16) / n * 2**64)))
+    rows, places, hashes = [], [], []
+    with np.errstate(over="ignore"):
+        for a in range(0, n, BLOCK):
+            h = (marks[a : a + BLOCK][None, :] ^ salts[:, None]) * np.uint64(0x9E3779B97F4A7C15)
+            r, c = np.nonzero(h <= bound)
+            rows.append(r)
+            places.append(c + a)
+            hashes.append(h[r, c])
+    row, place, value = np.concatenate(rows), np.concatenate(places), np.concatenate(hashes)
+    order = np.lexsort((value, row))
+    row, place = row[order], place[order]
+    starts = np.searchsorted(row, np.arange(len(salts) + 1))
+    short = np.flatnonzero(np.diff(starts) < m)
+    at = np.minimum(starts[:-1, None] + np.arange(m), max(0, len(place) - 1))
+    picks = place[at] if len(place) else np.zeros((len(salts), m), np.int64)
+    with np.errstate(over="ignore"):
+        for k in short:
+            picks[k] = np.argpartition((marks ^ salts[k]) * np.uint64(0x9E3779B97F4A7C15), m - 1)[:m]
+    return np.sort(picks, axis=1)
+
+
 def aligned(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
     """Whether an alignment of two sequences matches ``s`` places with ``s / (len(a) + len(b) - s) >= similarity``.
 
@@ -131,7 +151,10 @@ def aligned(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
         return True
     x, y = a[head : n - tail], b[head : m - tail]
     need -= head + tail
-    if len(np.intersect1d(x, y)) == 0:
+    values, times_x = np.unique(x, return_counts=True)
+    values_y, times_y = np.unique(y, return_counts=True)
+    both, at_x, at_y = np.intersect1d(values, values_y, assume_unique=True, return_indices=True)
+    if np.minimum(times_x[at_x], times_y[at_y]).sum() < need:  # no order matches more than this
         return False
     band = int(n + m - 2 * (need + head + tail)) + 1  # places that stay unmatched: no wider detour can reach the need
     places: dict[int, list[int]] = {}
