@@ -21,10 +21,10 @@ GAMMA = 1.05
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 #: Metrics that get fences: name -> (expression over the base columns, checks the upper side, checks the lower side, least spread).
 METRICS = {
-    "symbols": ("n_symbols * 1000 div n_words", True, False, 100),
+    "symbols": ("n_symbols * 1000 div greatest(n_words, 1)", True, False, 100),
     "dup_lines": ("n_dup_lines * 1000 div greatest(n_lines, 1)", True, False, 100),
-    "repeats": ("n_repeat_words * 1000 div n_words", True, False, 70),
-    "word_length": ("word_chars * 100 div n_words", True, True, 100),
+    "repeats": ("n_repeat_words * 1000 div greatest(n_words, 1)", True, False, 70),
+    "word_length": ("word_chars * 100 div greatest(n_words, 1)", True, True, 100),
 }
 
 
