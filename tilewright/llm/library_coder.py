@@ -10,6 +10,10 @@ import numpy as np
 from tilewright.llm.stretch_coder import StretchCoder
 
 
+#: Stretches that are encoded as one text.
+JOINED = 1000
+
+
 class LibraryCoder(StretchCoder):
     """A tokenizer file with a byte-level pre-tokenizer; no special tokens are added."""
 
@@ -21,9 +25,24 @@ class LibraryCoder(StretchCoder):
         super().__init__()
 
     def encode_new(self, parts: list[str]) -> list[list[np.ndarray]]:
-        out = []
-        for k in range(0, len(parts), 2000):
-            out += [[np.array(e.ids, np.int32)] for e in self.tokenizer.encode_batch_fast(parts[k : k + 2000], add_special_tokens=False)]
+        """New stretches are put together to texts: one that starts with a space after one that doesn't end with one never merges with it.
+
+        A call for each stretch would cost several times as much; the offsets of the tokens tell whose they are.
+        """
+        joined = [i for i, p in enumerate(parts) if p[0] == " " and not p[-1].isspace()]
+        alone = [i for i, p in enumerate(parts) if p[0] != " " or p[-1].isspace()]
+        out: list[list[np.ndarray]] = [[]] * len(parts)
+        for i, e in zip(alone, self.tokenizer.encode_batch_fast([parts[i] for i in alone], add_special_tokens=False)):
+            out[i] = [np.array(e.ids, np.int32)]
+        for k in range(0, len(joined), JOINED):
+            own = joined[k : k + JOINED]
+            starts = np.cumsum([0, *(len(parts[i]) for i in own)])
+            e = self.tokenizer.encode("".join(parts[i] for i in own), add_special_tokens=False)
+            ids = np.array(e.ids, np.int32)
+            at = np.fromiter((a for a, _ in e.offsets), np.int64, len(ids))
+            cuts = np.searchsorted(at, starts)
+            for i, a, b in zip(own, cuts, cuts[1:]):
+                out[i] = [ids[a:b]]
         return out
 
 
