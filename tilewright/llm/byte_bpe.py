@@ -157,7 +157,7 @@ class ByteBpe(StretchCoder):
             ranks[back, best[back] - 1] = self.table.lookup(ids[back, best[back] - 1], ids[back, best[back]])
         return done
 
-    def encode_new(self, parts: list[str]) -> list[list[np.ndarray]]:
+    def encode_new(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Cuts stretches into pre-tokens; those not met before go through the matrices together."""
         cuts = [[x.encode("utf-8", "surrogatepass") for x in self.cut(p)] for p in parts]
         if len(self.merged) > REMEMBERED:
@@ -168,7 +168,9 @@ class ByteBpe(StretchCoder):
         merged.update((x, np.array([self.whole[x]], np.int32)) for x in short)
         fresh = list(fresh - short)
         merged.update(zip(fresh, self.merge_rows(fresh)))
-        return [[merged[x] for x in cut] for cut in cuts]
+        pieces = [merged[x] for cut in cuts for x in cut]
+        lengths = np.fromiter((sum(len(merged[x]) for x in cut) for cut in cuts), np.int64, len(cuts))
+        return np.concatenate([np.zeros(0, np.int32), *pieces]), lengths
 
     def decode(self, ids: np.ndarray) -> bytes:
         """The bytes of a sequence of ids."""

@@ -35,6 +35,48 @@ def gather(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray, which: np.
     return flat[np.repeat(starts[which] - (ends - n), n) + np.arange(total)]
 
 
+class Numbered(dict):
+    """Numbers strings in the order in which they are first asked for; ``new`` lists those since it was last emptied."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, key: str) -> int:
+        k = self[key] = len(self)
+        self.new.append(key)
+        return k
+
+
+class IdStore:
+    """The ids of strings, one after another in one array."""
+
+    def __init__(self) -> None:
+        self.seen = Numbered()
+        self.flat, self.used = np.zeros(1 << 16, np.int32), 0
+        self.at, self.n, self.filled = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64), 0
+
+    def numbers(self, strings: list[str]) -> np.ndarray:
+        """The number of each string; what is new is then in ``seen.new`` and needs :meth:`put`."""
+        return np.fromiter(map(self.seen.__getitem__, strings), np.int64, len(strings))
+
+    def put(self, ids: np.ndarray, lengths: np.ndarray) -> None:
+        """The ids of all new strings, in their order."""
+        need = self.filled + len(lengths)
+        while len(self.at) < need:
+            self.at, self.n = np.concatenate([self.at, self.at]), np.concatenate([self.n, self.n])
+        while len(self.flat) < self.used + len(ids):
+            self.flat = np.concatenate([self.flat, self.flat])
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.n[self.filled : need] = lengths
+        self.at[self.filled : need] = self.used + np.cumsum(lengths) - lengths
+        self.filled, self.used = need, self.used + len(ids)
+        self.seen.new = []
+
+    def ids(self, which: np.ndarray) -> np.ndarray:
+        return gather(self.flat, self.at, self.n, which)
+
+
 class StretchCoder:
     """Base of the encoders: subclasses give the ids of new stretches in :meth:`encode_new`."""
 
@@ -42,38 +84,22 @@ class StretchCoder:
         self.forget()
 
     def forget(self) -> None:
-        self.seen: dict[str, int] = {}
-        self.flat, self.used = np.zeros(1 << 16, np.int32), 0
-        self.at, self.n = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+        self.store = IdStore()
 
-    def encode_new(self, parts: list[str]) -> list[list[np.ndarray]]:
-        """For each stretch the arrays of ids of which it is made."""
+    def encode_new(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all stretches, one after another, and how many each has."""
         raise NotImplementedError
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         """Ids of each text as ``int32``; new stretches of all texts of the call are encoded together."""
-        cut = [stretches(t) for t in texts]
-        new = set().union(*cut) if cut else set()
-        if len(self.seen) > REMEMBERED:
+        if len(self.store.seen) > REMEMBERED:
             self.forget()
-        new.difference_update(self.seen)
-        if new:
-            self._learn(list(new))
-        for parts in cut:
-            yield gather(self.flat, self.at, self.n, np.fromiter(map(self.seen.__getitem__, parts), np.int64, len(parts)))
-
-    def _learn(self, parts: list[str]) -> None:
-        pieces = self.encode_new(parts)
-        need = len(self.seen) + len(parts)
-        while len(self.at) < need:
-            self.at, self.n = np.concatenate([self.at, self.at]), np.concatenate([self.n, self.n])
-        block = np.concatenate([np.zeros(0, np.int32), *(x for piece in pieces for x in piece)])
-        while len(self.flat) < self.used + len(block):
-            self.flat = np.concatenate([self.flat, self.flat])
-        self.flat[self.used : self.used + len(block)] = block
-        at = self.used
-        self.used += len(block)
-        for part, piece in zip(parts, pieces):
-            k, n = len(self.seen), sum(map(len, piece))
-            self.seen[part], self.at[k], self.n[k] = k, at, n
-            at += n
+        store = self.store
+        held = [store.numbers(stretches(t)) for t in texts]
+        if store.seen.new:
+            try:
+                store.put(*self.encode_new(store.seen.new))
+            except BaseException:
+                self.forget()  # numbers without ids must not stay
+                raise
+        yield from map(store.ids, held)
