@@ -171,7 +171,9 @@ def read_records(index: DataFrame, folder: str) -> DataFrame:
                     raise ValueError(f"{row.file} has {frames} records, the index has {row.frames}")
                 yield pd.DataFrame(rows, columns=["doc_id", "start", "n_tokens", "ids_crc32"]).astype({"doc_id": "Int64"})
 
-    return files.repartition("file").mapInPandas(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    # By number: a list of files is small, and would be merged into one task, which would then read all of them.
+    n = index.select("file").distinct().count()
+    return files.repartition(max(1, n), "file").mapInPandas(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def read_at(index: DataFrame, folder: str) -> DataFrame:
