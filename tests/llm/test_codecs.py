@@ -12,6 +12,7 @@ from tokenizers import Tokenizer, models, pre_tokenizers
 from tilewright.llm import bpe_codec, packing, token_counts, token_records
 from tilewright.llm.byte_bpe import encoder
 from tilewright.llm.cutting_stock import segments, solve
+from tilewright.llm.library_coder import LibraryCoder
 from tilewright.workspace import Workspace
 
 RANKS = P.path("byte_bpe_50k.tiktoken")
@@ -133,3 +134,12 @@ def test_packing_places_every_id_once(spark):
     assert sorted(spans) == list(range(len(spans)))
     assert sum(n for v in pieces.values() for _, n in v) == sum(len(t.encode(x or "", add_special_tokens=False).ids) + 1 for x in [x for _, x in ROWS] + ["word " * 3000])
     assert packing.pack(df.limit(0), ["doc_id"], P.path("byte_bpe_50k.json")).collect() == []
+
+
+def test_library_coder_equals_the_library():
+    alphabet = [*" \t\n\r\x85\xa0　ab's,1é½日😀́<|>", "<|endoftext|>", "  ", " x"]
+    texts = TEXTS + ["".join(random.choice(alphabet) for _ in range(random.randint(0, 30))) for _ in range(3000)]
+    own = LibraryCoder(P.path("byte_bpe_50k.json"))
+    for _ in range(2):  # the second time from memory
+        for want, ids in zip(own.tokenizer.encode_batch_fast(texts, add_special_tokens=False), own.encode(texts), strict=True):
+            assert want.ids == ids.tolist()
