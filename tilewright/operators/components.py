@@ -8,22 +8,27 @@ from pyspark.sql import functions as F
 from tilewright.workspace import Workspace
 
 
-def connected_components(ws: Workspace, edges: DataFrame, name: str = "cc") -> DataFrame:
+#: Contractions whose renamings are put together in one plan before they are written.
+FOLDED = 8
+
+
+def connected_components(ws: Workspace, edges: DataFrame, name: str = "cc", most: int | None = None) -> DataFrame:
     """``(node, component)`` for every end of ``edges(u, v)``; the component is its smallest node.
 
     Each round hooks every root to its smallest neighbour, jumps once, and renames the ends of the remaining edges, so the edge
     table shrinks geometrically on ordinary graphs and by hops of doubling length on chains. Nothing is gathered per node: a hub
     costs one partial minimum. Null ends are ignored, self links and repeated edges change nothing, an empty table gives an empty one.
+
+    With ``most`` rounds at most, nodes of one component are connected, but not all that are connected need share one.
     """
     pairs = edges.select(F.col("u").cast("long").alias("u"), F.col("v").cast("long").alias("v")).where("u is not null and v is not null")
     links = ws.save(pairs.where("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), f"{name}-e0")
     nodes = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-    labels = ws.save(nodes.select("node", F.col("node").alias("component")), f"{name}-l0")
-    k = 0
-    while not links.isEmpty():
+    labels = nodes.select("node", F.col("node").alias("component"))
+    k, held = 0, []
+    while not links.isEmpty() and (most is None or k < most):
         ends = links.select("u", "v").union(links.select(F.col("v"), F.col("u")))
         parent = ends.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("low")).select("node", F.least("node", "low").alias("up"))
-        parent = ws.save(parent, f"{name}-p{k}")
         upper = parent.select(F.col("node").alias("up"), F.col("up").alias("top"))
         jumped = ws.save(parent.join(upper, "up", "left").select("node", F.coalesce("top", "up").alias("root")), f"{name}-j{k}")
         renamed = (
@@ -34,8 +39,14 @@ def connected_components(ws: Workspace, edges: DataFrame, name: str = "cc") -> D
             .distinct()
         )
         links = ws.save(renamed, f"{name}-e{k + 1}")
-        over = jumped.select(F.col("node").alias("component"), "root")
-        labels = ws.save(labels.join(over, "component", "left").select("node", F.coalesce("root", "component").alias("component")), f"{name}-l{k + 1}")
-        ws.drop(f"{name}-e{k}", f"{name}-l{k}", f"{name}-p{k}", f"{name}-j{k}")
+        labels = labels.join(jumped.select(F.col("node").alias("component"), "root"), "component", "left").select("node", F.coalesce("root", "component").alias("component"))
+        ws.drop(f"{name}-e{k}")
+        held.append(f"{name}-j{k}")
         k += 1
+        if len(held) == FOLDED:
+            labels = ws.save(labels, f"{name}-l{k}")
+            ws.drop(*held)
+            held = []
+    labels = ws.save(labels, f"{name}-labels")
+    ws.drop(*held)
     return labels
