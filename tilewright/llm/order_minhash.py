@@ -280,7 +280,7 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", how:
         pairs = apart.where(fits).select(F.least("doc", "c.doc").alias("u"), F.greatest("doc", "c.doc").alias("v")).distinct()
         near = verify(ws, pairs, texts, how, f"verified-{k}")
         edges = near if edges is None else edges.union(near)
-        classes = connected_components(ws, edges, f"cc-{k}")
+        classes = connected_components(ws, edges, f"cc-{k}", most=CONTRACTIONS)  # a link that this leaves out costs comparisons only
         # The centre has met every text of its bucket: it leaves the bucket, and a bucket with one class left is settled.
         rest = members.drop("class").join(lead.select("bucket", F.col("c.doc").alias("centre")), "bucket").where("doc <> centre").drop("centre")
         rest = rest.join(classes.select(F.col("node").alias("doc"), F.col("component").alias("class")), "doc", "left").withColumn("class", F.coalesce("class", "doc"))
@@ -292,13 +292,15 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", how:
             break
     if not members.isEmpty():
         edges = edges.union(exact_rest(ws, members, texts, how))
-        classes = connected_components(ws, edges, "cc-rest")
+    classes = connected_components(ws, edges, "cc-all")
     final = rows.join(classes.select(F.col("node").alias("first"), F.col("component")), "first", "left")
     return final.select(F.col("doc").alias(key), F.coalesce("component", "first", "doc").alias("class_id"))
 
 
 #: Star rounds before what is still apart is compared pair by pair.
 ROUNDS = 3
+#: Contractions between star rounds: two join a star whatever the order of its ids.
+CONTRACTIONS = 2
 
 
 def exact_rest(ws: Workspace, members: DataFrame, texts: DataFrame, how: Near) -> DataFrame:
