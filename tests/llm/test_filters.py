@@ -103,6 +103,38 @@ def test_near_classes(spark):
     assert order_minhash.near_classes(df.limit(0)).collect() == []
 
 
+def test_texts_with_a_shared_passage(spark, monkeypatch):
+    monkeypatch.setattr(order_minhash, "ROUNDS", 1)
+    rng = np.random.default_rng(8)
+    words = lambda n: ["".join(rng.choice(list("abcdefgh"), 6)) for _ in range(n)]
+    passage, rows = words(90), []
+    for g in range(30):
+        own = words(int(rng.integers(4, 40)))
+        rows.append((len(rows), " ".join(passage + own)))
+        if g % 3 == 0:
+            rows.append((len(rows), " ".join(passage + own[:-2] + words(2))))
+    met = []
+    plain = order_minhash.exact_rest
+    monkeypatch.setattr(order_minhash, "exact_rest", lambda *a: met.append(1) or plain(*a))
+    how = order_minhash.Near()
+    got = order_minhash.near_classes(spark.createDataFrame(rows, "doc_id long, text string"), how=how).collect()
+    assert met and {r["doc_id"]: r["class_id"] for r in got} == brute(rows, how)
+
+
+def test_similar_texts_share_an_early_rare_mark():
+    rng, tried = np.random.default_rng(9), 0
+    counts = rng.integers(1, 50, order_minhash.SLOTS)
+    for _ in range(400):
+        a = order_minhash.mix(rng.integers(0, 60, rng.integers(1, 80)).astype(np.uint64))
+        b = np.insert(np.delete(a, rng.integers(0, len(a), rng.integers(0, 8))), 0, order_minhash.mix(rng.integers(100, 200, rng.integers(0, 6)).astype(np.uint64)))
+        if order_minhash.aligned(a, b, 0.8):
+            tried += 1
+            x, y = [order_minhash.rare_marks(order_minhash.labelled(t), counts, 0.8).tolist() for t in (a, b)]
+            need = 0.8 * (len(a) + len(b)) / 1.8 - 1e-6
+            assert any(m in y and len(a) - i >= need and len(b) - y.index(m) >= need for i, m in enumerate(x))
+    assert tried > 50
+
+
 def test_alignment_against_a_plain_table():
     rng = np.random.default_rng(4)
     for _ in range(200):

@@ -7,7 +7,7 @@ by banded alignment of their shingle sequences.
 
 Copies are collapsed before anything is compared. The members of a bucket are not paired with each other: in each round a bucket is a star
 around one centre, what the alignment joins becomes one class, and only classes that a bucket still holds apart are compared
-further, until a bucket has one class or every pair of its classes' texts has been compared.
+further, until a bucket has one class or every pair of its classes' texts that shares a rare shingle has been compared.
 """
 
 from __future__ import annotations
@@ -297,25 +297,75 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", how:
     return final.select(F.col("doc").alias(key), F.coalesce("component", "first", "doc").alias("class_id"))
 
 
-#: Star rounds before what is still apart is compared pair by pair.
+#: Star rounds before what is still apart is compared by its rare shingles.
 ROUNDS = 3
 #: Contractions between star rounds: two join a star whatever the order of its ids.
 CONTRACTIONS = 2
 
 
+#: Slots in which labelled shingles are counted: the list of counts that every task gets has 8 MB at most.
+SLOTS = 1 << 20
+
+
+def slot_counts(ws: Workspace, texts: DataFrame) -> np.ndarray:
+    """How many labelled shingles of ``texts(doc, shingles)`` fall into each of :data:`SLOTS` slots of their hash."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(SLOTS, np.int64)
+        for pdf in batches:
+            for raw in pdf["shingles"]:
+                np.add.at(total, slot_of(labelled(np.frombuffer(raw, np.uint64))), 1)
+        held = np.flatnonzero(total)
+        yield pd.DataFrame({"slot": held, "n": total[held]})
+
+    summed = ws.save(texts.mapInPandas(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).where("n > 1"), "slots").toArrow()
+    counts = np.ones(SLOTS, np.int64)
+    counts[summed["slot"].to_numpy()] = summed["n"].to_numpy()
+    return counts
+
+
+def slot_of(marks: np.ndarray) -> np.ndarray:
+    return (marks % np.uint64(SLOTS)).astype(np.int64)
+
+
+def rare_marks(marks: np.ndarray, counts: np.ndarray, similarity: float) -> np.ndarray:
+    """The rarest labelled shingles of a text, so many that any text as similar as that has one of them among its own rarest.
+
+    Both texts must share ``similarity`` of the longer one's labelled shingles at least, and all texts rank by the same order (count, then
+    hash): before the first one that two texts share, neither can have more than it can do without.
+    """
+    spare = len(marks) - int(np.ceil(similarity * len(marks) - 1e-9)) + 1
+    return marks[np.lexsort((marks, counts[slot_of(marks)]))[:spare]]
+
+
 def exact_rest(ws: Workspace, members: DataFrame, texts: DataFrame, how: Near) -> DataFrame:
-    """Links among texts of different classes that still share a bucket: each such pair once, after a filter by length.
+    """Links among texts of different classes that buckets still hold apart.
 
-    In a bucket, texts are sorted by length, and one meets only those up to ``1 / similarity`` times as long: a band join on equal bucket and
-    neighbouring steps of the logarithm of the length.
+    Texts that merely share a passage meet in a bucket by its shingles, which many texts have. So a pair is compared only if it shares one
+    of both texts' rarest shingles too (:func:`rare_marks`), and so early in both that the rest of either can hold the matches that the
+    threshold asks of this pair. Every pair at the threshold does; a passage stands so early only where it is eight ninths of two
+    texts of one length.
     """
-    step = float(np.log(1 / how.similarity))
-    placed = members.withColumn("step", F.floor(F.ln(F.col("n").cast("double")) / F.lit(step)).cast("int"))
-    right = placed.select("bucket", F.explode(F.array(F.col("step"), F.col("step") + 1)).alias("step"), F.col("doc").alias("other"), F.col("n").alias("m"), F.col("class").alias("other_class"))
-    met = placed.join(right, ["bucket", "step"]).where((F.col("class") != F.col("other_class")) & (F.col("doc") != F.col("other")))
-    met = met.where(F.least("n", "m") >= how.similarity * F.greatest("n", "m"))
-    pairs = met.select(F.least("doc", "other").alias("u"), F.greatest("doc", "other").alias("v")).distinct()
-    return verify(ws, pairs, texts, how, "verified-rest")
+    rest = ws.save(members.groupBy("doc").agg(F.min("class").alias("class"), F.min("n").alias("n")), "rest")
+    held = ws.save(only(texts, rest.select(F.col("doc").alias("id")), "doc"), "rest-texts")
+    shared = ws.spark.sparkContext.broadcast(slot_counts(ws, held))
+
+    def rarest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            found = [rare_marks(labelled(np.frombuffer(raw, np.uint64)), shared.value, how.similarity) for raw in pdf["shingles"]]
+            if found:
+                lengths = [len(x) for x in found]
+                after = np.concatenate([np.arange(n) for n in lengths])
+                yield pd.DataFrame({"mark": np.concatenate(found).view(np.int64), "after": after, "doc": np.repeat(pdf["doc"].to_numpy(), lengths)})
+
+    marks = ws.save(held.mapInPandas(rarest, "mark long, after long, doc long").join(rest, "doc"), "rare")
+    several = marks.groupBy("mark").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo < hi").select("mark")
+    open_ = ws.save(marks.join(several, "mark", "left_semi"), "rare-open")
+    right = open_.select("mark", F.col("doc").alias("other"), F.col("n").alias("m"), F.col("after").alias("other_after"), F.col("class").alias("other_class"))
+    need = (F.col("n") + F.col("m")) * (how.similarity / (1 + how.similarity)) - 1e-6
+    fits = (F.col("n") - F.col("after") >= need) & (F.col("m") - F.col("other_after") >= need)
+    met = open_.join(right, "mark").where((F.col("class") != F.col("other_class")) & (F.col("doc") < F.col("other")) & fits)
+    return verify(ws, met.select(F.col("doc").alias("u"), F.col("other").alias("v")).distinct(), held, how, "verified-rest")
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", how: Near = Near()) -> DataFrame:
