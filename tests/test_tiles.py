@@ -64,3 +64,10 @@ def test_components(spark):
     got = dict(rows(connected_components(Workspace(spark, "t"), spark.createDataFrame(edges, "u long, v long"))))
     assert {got[i] for i in range(41)} == {0} and got[101] == 100 and got[200] == 200
     assert rows(connected_components(Workspace(spark, "t"), spark.createDataFrame([], "u long, v long"))) == []
+
+
+def test_bounded_components_are_sound(spark):
+    edges = [(50, i) for i in range(60) if i != 50] + [(i, i + 1) for i in range(100, 140)]
+    got = dict(rows(connected_components(Workspace(spark, "t"), spark.createDataFrame(edges, "u long, v long"), most=2)))
+    assert {got[i] for i in range(60)} == {0}  # two rounds join a star
+    assert len(got) == 101 and all((n < 100) == (c < 100) for n, c in got.items())
