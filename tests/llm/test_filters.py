@@ -164,5 +164,34 @@ def test_near_vectors(spark):
     assert nn_descent.near_vectors(df.limit(0)).collect() == []
 
 
+def vector_table(spark, x):
+    return spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "vec_id long, embedding array<double>")
+
+
+def true_links(x):
+    u = x / np.linalg.norm(x, axis=1)[:, None]
+    return u @ u.T >= 0.9
+
+
+def clump_centres(dim, cosine):
+    a, b = np.eye(dim)[:2]
+    return a, cosine * a + np.sqrt(1 - cosine**2) * b
+
+
+def test_links_between_saturated_clumps(spark):
+    rng = np.random.default_rng(5)
+    a, b = clump_centres(32, 0.93)
+    near = np.vstack([c + rng.standard_normal((20, 32)) * 0.004 for c in (a, b)])
+    c, d = -np.eye(32)[4], -0.93 * np.eye(32)[4] + np.sqrt(1 - 0.93**2) * np.eye(32)[5]
+    copies = np.vstack([np.tile(c, (12, 1)), np.tile(d, (12, 1))])
+    x = np.vstack([near, copies, rng.standard_normal((100, 32))])
+    links = true_links(x)
+    assert links[:40, :40].all() and links[40:64, 40:64].all()
+    got = {r["vec_id"]: r for r in nn_descent.near_vectors(vector_table(spark, x)).collect()}
+    assert [got[i]["n_links"] for i in range(len(x))] == (links.sum(1) - 1).tolist()
+    assert {got[i]["component_id"] for i in range(40)} == {0} and {got[i]["component_id"] for i in range(40, 64)} == {40}
+    assert [i for i in range(64) if got[i]["kept"]] == [0, 40]
+
+
 def test_workspace_is_shared(spark):
     assert Workspace(spark, "x").root.startswith(spark.conf.get("spark.checkpoint.dir"))

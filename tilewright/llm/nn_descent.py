@@ -1,8 +1,9 @@
 """Near-duplicate vectors by NN-descent.
 
 A neighbour graph starts from blocks of random hyperplane signatures and is refined by local joins: the neighbours of a node, in both
-directions, meet each other, and each keeps its best. Edges at or over the threshold link. A list that holds nothing but
-links is saturated: it can't hold all, so its component is enlarged to all its vectors and compared in bounded blocks. Recall is
+directions, meet each other, and each keeps its best. Edges at or over the threshold link. Equal vectors are collapsed before. A list that
+holds nothing but links is saturated: it can't hold all, so its vector is searched against the vectors of all other components, in
+bounded blocks; then the components with a saturated list are compared whole, in bounded blocks too. Recall is
 audited against brute force on a stated number of queries, and further rounds with new signatures run while it is too low.
 """
 
@@ -30,6 +31,8 @@ class Descent:
     settled: float = 0.002
     #: Vectors that meet in one group, and in a block of an enlarged component.
     group: int = 512
+    #: Saturated vectors that are sent to every task at once, to be searched against all others.
+    sent: int = 4096
     audit_queries: int = 500
     least_recall: float = 0.97
     repeats: int = 3
@@ -62,6 +65,16 @@ def usable(embeddings: DataFrame, key: str, vector: str) -> tuple[DataFrame, str
     return held.mapInPandas(raw, "id long, dim int, vec binary"), kind
 
 
+def collapse(ws: Workspace, found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """From ``found(id, dim, vec)`` one row ``(id, dim, vec, w)`` for each distinct vector, its least id and number, and ``(id, first)`` of all."""
+    held = ws.save(found, "found")
+    vectors = ws.save(held.groupBy("dim", "vec").agg(F.min("id").alias("id"), F.count("*").alias("w")).select("id", "dim", "vec", "w"), "vectors")
+    several = vectors.where("w > 1").select("dim", "vec", F.col("id").alias("first"))
+    firsts = ws.save(held.join(several, ["dim", "vec"], "left").select("id", F.coalesce("first", "id").alias("first")), "firsts")
+    ws.drop("found")
+    return vectors, firsts
+
+
 def signatures(vectors: DataFrame, kind: str, bits: int, how: Descent, repeat: int) -> DataFrame:
     """``(key, id, vec)``: each vector once for each table, keyed by table, dimension and the sides of ``bits`` hyperplanes."""
 
@@ -156,35 +169,83 @@ def descend(ws: Workspace, vectors: DataFrame, kind: str, how: Descent, repeat:
     return graph
 
 
+def leaving(ws: Workspace, placed: DataFrame, full: DataFrame, kind: str, how: Descent, name: str) -> DataFrame:
+    """``(u, v)``: links of the vectors ``full(id)`` with vectors of other components; at least one for each two components that such links join.
+
+    ``placed(id, dim, vec, component)`` holds all vectors. ``how.sent`` of the wanted ones at a time meet all, without a shuffle.
+    """
+    wanted = placed.join(full, "id")
+    parts = -(-full.count() // how.sent)
+    wanted = ws.save(wanted.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(max(1, parts))).cast("int")), f"{name}-wanted")
+    found = ws.spark.createDataFrame([], "u long, v long")
+    for part in range(parts):
+        rows = wanted.where(F.col("part") == part).collect()  # about how.sent rows
+        held: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        for dim in {r["dim"] for r in rows}:
+            own = [r for r in rows if r["dim"] == dim]
+            held[dim] = np.array([r["id"] for r in own]), np.array([r["component"] for r in own]), unit_rows([bytes(r["vec"]) for r in own], kind)
+        shared = ws.spark.sparkContext.broadcast(held)
+
+        def search(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                for at in range(0, len(pdf), how.group):
+                    for dim, rows in pdf.iloc[at : at + how.group].groupby("dim"):
+                        if dim not in shared.value:
+                            continue
+                        ids, classes, q = shared.value[dim]
+                        theirs = rows["component"].to_numpy()
+                        i, j = np.nonzero((cosines(q, unit_rows(list(rows["vec"]), kind)) >= how.threshold) & (classes[:, None] != theirs[None, :]))
+                        if len(i):
+                            met = pd.DataFrame({"u": ids[i], "v": rows["id"].to_numpy()[j], "a": classes[i], "b": theirs[j]})
+                            yield met.drop_duplicates(["a", "b"])[["u", "v"]]
+
+        found = found.union(ws.save(placed.mapInPandas(search, "u long, v long"), f"{name}-leaving-{part}"))
+        shared.unpersist()
+    return found
+
+
 def enlarge(ws: Workspace, graph: DataFrame, vectors: DataFrame, kind: str, how: Descent, name: str) -> tuple[DataFrame, DataFrame]:
-    """``(links, counts)``: threshold edges ``(u, v)`` with ``u < v``, and ``(id, n_links)``.
+    """``(classes, counts)``: ``(node, component)`` of the vectors that link, and ``(id, n_links, n_near)``: linked rows and distinct vectors
+    besides the own copies.
 
-    Components with a saturated list are compared whole, in pairs of blocks; their links are only counted, as the component is known.
+    Saturated vectors are searched against all other components, so every link of theirs lies within a component after that. Components
+    with a saturated list are then compared whole, in pairs of blocks; their links are only counted, as the component is known.
     """
     over = ws.save(graph.where(F.col("sim") >= how.threshold), f"{name}-over")
     links = ws.save(over.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), f"{name}-links")
     classes = ws.save(connected_components(ws, links, f"{name}-cc"), f"{name}-classes")
-    full = over.groupBy("u").agg(F.count("*").alias("n")).where(F.col("n") >= how.neighbours)
-    dense = classes.join(full.select(F.col("u").alias("node")), "node").select("component").distinct()
+    full = ws.save(over.groupBy(F.col("u").alias("id")).agg(F.count("*").alias("n")).where(F.col("n") >= how.neighbours).select("id"), f"{name}-full")
+    if not full.isEmpty():
+        placed = vectors.join(classes.withColumnRenamed("node", "id"), "id", "left").select("id", "dim", "vec", F.coalesce("component", "id").alias("component"))
+        placed = ws.save(placed, f"{name}-placed")
+        out = leaving(ws, placed, full, kind, how, name)
+        if not out.isEmpty():
+            classes = ws.save(connected_components(ws, links.union(out), f"{name}-cc-all"), f"{name}-classes-all")
+        ws.drop(f"{name}-placed", f"{name}-wanted")
+    dense = classes.join(full.select(F.col("id").alias("node")), "node").select("component").distinct()
     sizes = classes.join(dense, "component").groupBy("component").agg(F.ceil(F.count("*") / how.group).cast("int").alias("blocks"))
     inside = ws.save(classes.join(sizes, "component"), f"{name}-inside")
     placed = inside.withColumn("b", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     spread = placed.select("component", "node", "b", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("p"))
     spread = spread.select(F.xxhash64("component", F.least("b", "p"), F.greatest("b", "p")).alias("key"), F.col("node").alias("id"), "b", (F.col("b") <= F.col("p")).alias("low"), (F.col("b") >= F.col("p")).alias("high"))
-    rows = spread.join(vectors.select("id", "vec"), "id")
+    rows = spread.join(vectors.select("id", "vec", "w"), "id")
 
     def count(pdf: pd.DataFrame) -> pd.DataFrame:
-        ids, low, high = pdf["id"].to_numpy(), pdf["low"].to_numpy(), pdf["high"].to_numpy()
+        ids, low, high, w = pdf["id"].to_numpy(), pdf["low"].to_numpy(), pdf["high"].to_numpy(), pdf["w"].to_numpy()
         x = unit_rows(list(pdf["vec"]), kind)
         if (low & high).all():  # a block with itself
-            n = (cosines(x, x) >= how.threshold).sum(axis=1) - 1
-            return pd.DataFrame({"id": ids, "n": n})
+            s = cosines(x, x) >= how.threshold
+            np.fill_diagonal(s, False)
+            return pd.DataFrame({"id": ids, "n": s @ w, "near": s.sum(axis=1)})
         s = cosines(x[low], x[high]) >= how.threshold
-        return pd.DataFrame({"id": np.concatenate([ids[low], ids[high]]), "n": np.concatenate([s.sum(axis=1), s.sum(axis=0)])})
+        n, near = np.concatenate([s @ w[high], s.T @ w[low]]), np.concatenate([s.sum(axis=1), s.sum(axis=0)])
+        return pd.DataFrame({"id": np.concatenate([ids[low], ids[high]]), "n": n, "near": near})
 
-    dense_counts = rows.groupBy("key").applyInPandas(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n_links"))
+    sums = [F.sum("n").alias("n_links"), F.sum("near").alias("n_near")]
+    dense_counts = rows.groupBy("key").applyInPandas(count, "id long, n long, near long").groupBy("id").agg(*sums)
     sparse = links.join(inside.select(F.col("node").alias("u")), "u", "left_anti")
-    sparse_counts = sparse.select(F.explode(F.array("u", "v")).alias("id")).groupBy("id").agg(F.count("*").alias("n_links"))
+    ends = sparse.select("u", "v").union(sparse.select("v", "u")).toDF("id", "other").join(vectors.select(F.col("id").alias("other"), F.col("w").alias("n")), "other")
+    sparse_counts = ends.withColumn("near", F.lit(1).cast("long")).groupBy("id").agg(*sums)
     counts = ws.save(dense_counts.unionByName(sparse_counts), f"{name}-counts")
     return classes, counts
 
@@ -209,7 +270,7 @@ def audit(vectors: DataFrame, kind: str, counts: DataFrame, how: Descent) -> flo
                     yield pd.DataFrame({"id": ids, "true_links": true})
 
     truth = vectors.mapInPandas(brute, "id long, true_links long").groupBy("id").agg(F.sum("true_links").alias("true_links"))
-    both = truth.join(counts, "id", "left").agg(F.sum("true_links").alias("t"), F.sum(F.least("true_links", F.coalesce("n_links", F.lit(0)))).alias("f")).first()
+    both = truth.join(counts, "id", "left").agg(F.sum("true_links").alias("t"), F.sum(F.least("true_links", F.coalesce("n_near", F.lit(0)))).alias("f")).first()
     return both["f"] / both["t"] if both["t"] else 1.0
 
 
@@ -221,14 +282,17 @@ def near_vectors(embeddings: DataFrame, key: str = "vec_id", vector: str = "embe
     """
     ws = Workspace(embeddings.sparkSession, "descent")
     found, kind = usable(embeddings, key, vector)
-    vectors = ws.save(found, "vectors")
+    vectors, firsts = collapse(ws, found)
     graph, classes, counts = None, None, None
     for repeat in range(how.repeats):
         graph = descend(ws, vectors, kind, how, repeat, graph)
         classes, counts = enlarge(ws, graph, vectors, kind, how, f"final-{repeat}")
         if audit(vectors, kind, counts, how) >= how.least_recall:
             break
-    told = classes.select(F.col("node").alias("id"), F.col("component").alias("c")).join(counts, "id", "left")
+    own = vectors.select("id", F.col("w") - 1).toDF("first", "copies")
+    told = own.join(counts.withColumnRenamed("id", "first"), "first", "left").join(classes.select(F.col("node").alias("first"), F.col("component").alias("c")), "first", "left")
+    told = told.select("first", (F.coalesce("n_links", F.lit(0)) + F.col("copies")).alias("n_links"), F.coalesce("c", "first").alias("c"))
+    told = firsts.join(told, "first").select("id", "n_links", "c")
     out = embeddings.select(F.col(key).cast("long").alias("id")).join(told, "id", "left")
     out = out.select(F.col("id").alias(key), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("c", "id").alias("component_id"))
     return out.withColumn("kept", F.col(key).eqNullSafe(F.col("component_id")))
