@@ -193,5 +193,27 @@ def test_links_between_saturated_clumps(spark):
     assert [i for i in range(64) if got[i]["kept"]] == [0, 40]
 
 
+def test_pairs_beside_a_hot_group(spark):
+    rng = np.random.default_rng(6)
+    unit = lambda v: v / np.linalg.norm(v, axis=1)[:, None]
+    one = unit(rng.standard_normal((30, 32)))
+    side = rng.standard_normal((30, 32))
+    side = unit(side - (side * one).sum(1)[:, None] * one)
+    x = np.vstack([rng.standard_normal(32) + rng.standard_normal((300, 32)) * 0.02, one, 0.91 * one + np.sqrt(1 - 0.91**2) * side, rng.standard_normal((200, 32))])
+    links = true_links(x)
+    got = {r["vec_id"]: r for r in nn_descent.near_vectors(vector_table(spark, x), how=nn_descent.Descent(group=16, tables=1, rounds=1, repeats=1)).collect()}
+    assert [got[i]["n_links"] for i in range(len(x))] == (links.sum(1) - 1).tolist()
+    assert all(got[330 + i]["component_id"] == 300 + i for i in range(30))
+
+
+def test_too_low_recall_is_never_returned(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    x = np.repeat(rng.standard_normal((30, 32)), 2, axis=0) + rng.standard_normal((60, 32)) * 0.05
+    plain = nn_descent.descend
+    monkeypatch.setattr(nn_descent, "descend", lambda *a: plain(*a).where("u % 4 > 1 and v % 4 > 1"))
+    got = {r["vec_id"]: r for r in nn_descent.near_vectors(vector_table(spark, x)).collect()}
+    assert [got[i]["n_links"] for i in range(60)] == (true_links(x).sum(1) - 1).tolist() == [1] * 60
+
+
 def test_workspace_is_shared(spark):
     assert Workspace(spark, "x").root.startswith(spark.conf.get("spark.checkpoint.dir"))

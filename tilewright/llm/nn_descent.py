@@ -4,7 +4,8 @@ A neighbour graph starts from blocks of random hyperplane signatures and is refi
 directions, meet each other, and each keeps its best. Edges at or over the threshold link. Equal vectors are collapsed before. A list that
 holds nothing but links is saturated: it can't hold all, so its vector is searched against the vectors of all other components, in
 bounded blocks; then the components with a saturated list are compared whole, in bounded blocks too. Recall is
-audited against brute force on a stated number of queries, and further rounds with new signatures run while it is too low.
+audited against brute force on a stated number of unsaturated queries, each counting alike, and further rounds with new signatures run
+while it is too low; if it stays so, every vector is searched as a saturated one is, which loses nothing.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from tilewright.workspace import Workspace
 class Descent:
     threshold: float = 0.9
     neighbours: int = 8
+    #: Tables of signatures at least; more bits take more tables (:func:`tables_for`).
     tables: int = 10
     rounds: int = 3
     #: Rounds end when less than this share of the lists' places change.
@@ -34,6 +36,9 @@ class Descent:
     #: Saturated vectors that are sent to every task at once, to be searched against all others.
     sent: int = 4096
     audit_queries: int = 500
+    #: Further lots of queries are drawn until so many have few links, up to so many lots.
+    audit_linked: int = 100
+    audit_lots: int = 8
     least_recall: float = 0.97
     repeats: int = 3
     seed: int = 7
@@ -75,17 +80,24 @@ def collapse(ws: Workspace, found: DataFrame) -> tuple[DataFrame, DataFrame]:
     return vectors, firsts
 
 
+def tables_for(bits: int, how: Descent) -> int:
+    """Tables after which a pair at the threshold shares a signature of ``bits`` hyperplanes with probability ``how.least_recall``."""
+    together = min(1 - 1e-9, (1 - np.arccos(how.threshold) / np.pi) ** bits)
+    return max(how.tables, int(np.ceil(np.log(1 - how.least_recall) / np.log1p(-together))))
+
+
 def signatures(vectors: DataFrame, kind: str, bits: int, how: Descent, repeat: int) -> DataFrame:
     """``(key, id, vec)``: each vector once for each table, keyed by table, dimension and the sides of ``bits`` hyperplanes."""
+    tables = tables_for(bits, how)
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for dim, part in pdf.groupby("dim"):
                 x = unit_rows(list(part["vec"]), kind)
-                planes = np.random.default_rng([how.seed, repeat, dim]).standard_normal((dim, how.tables * bits))
-                sides = (x @ planes > 0).reshape(len(x), how.tables, bits)
+                planes = np.random.default_rng([how.seed, repeat, dim]).standard_normal((dim, tables * bits))
+                sides = (x @ planes > 0).reshape(len(x), tables, bits)
                 codes = (sides * (1 << np.arange(bits, dtype=np.int64))).sum(axis=2)
-                for t in range(how.tables):
+                for t in range(tables):
                     yield pd.DataFrame({"t": t, "dim": dim, "code": codes[:, t], "id": part["id"].to_numpy(), "vec": part["vec"].to_numpy()})
 
     rows = vectors.mapInPandas(sign, "t int, dim int, code long, id long, vec binary")
@@ -93,9 +105,9 @@ def signatures(vectors: DataFrame, kind: str, bits: int, how: Descent, repeat: i
 
 
 def split_groups(rows: DataFrame, how: Descent, salt: int) -> DataFrame:
-    """``rows(key, id, ...)`` with keys of over ``how.group`` rows split at random, so that no group is larger by more than chance."""
+    """``rows(key, id, ...)`` with keys of over ``how.group`` rows split at random, each key anew, so that no group is larger by more than chance."""
     sizes = rows.groupBy("key").agg(F.count("*").alias("n"))
-    parts = rows.join(sizes, "key").withColumn("part", F.pmod(F.xxhash64("id", F.lit(salt)), F.ceil(F.col("n") / how.group)))
+    parts = rows.join(sizes, "key").withColumn("part", F.pmod(F.xxhash64("id", "key", F.lit(salt)), F.ceil(F.col("n") / how.group)))
     return parts.withColumn("key", F.xxhash64("key", "part")).drop("n", "part")
 
 
@@ -204,9 +216,9 @@ def leaving(ws: Workspace, placed: DataFrame, full: DataFrame, kind: str, how: D
     return found
 
 
-def enlarge(ws: Workspace, graph: DataFrame, vectors: DataFrame, kind: str, how: Descent, name: str) -> tuple[DataFrame, DataFrame]:
-    """``(classes, counts)``: ``(node, component)`` of the vectors that link, and ``(id, n_links, n_near)``: linked rows and distinct vectors
-    besides the own copies.
+def enlarge(ws: Workspace, graph: DataFrame, vectors: DataFrame, kind: str, how: Descent, name: str, whole: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``(classes, counts, full)``: ``(node, component)`` of the vectors that link, ``(id, n_links, n_near)``: linked rows and distinct vectors
+    besides the own copies, and the saturated ``(id)``; with ``whole`` every vector is taken as saturated.
 
     Saturated vectors are searched against all other components, so every link of theirs lies within a component after that. Components
     with a saturated list are then compared whole, in pairs of blocks; their links are only counted, as the component is known.
@@ -214,7 +226,8 @@ def enlarge(ws: Workspace, graph: DataFrame, vectors: DataFrame, kind: str, how:
     over = ws.save(graph.where(F.col("sim") >= how.threshold), f"{name}-over")
     links = ws.save(over.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), f"{name}-links")
     classes = ws.save(connected_components(ws, links, f"{name}-cc"), f"{name}-classes")
-    full = ws.save(over.groupBy(F.col("u").alias("id")).agg(F.count("*").alias("n")).where(F.col("n") >= how.neighbours).select("id"), f"{name}-full")
+    held = over.groupBy(F.col("u").alias("id")).agg(F.count("*").alias("n")).where(F.col("n") >= how.neighbours)
+    full = ws.save((vectors if whole else held).select("id"), f"{name}-full")
     if not full.isEmpty():
         placed = vectors.join(classes.withColumnRenamed("node", "id"), "id", "left").select("id", "dim", "vec", F.coalesce("component", "id").alias("component"))
         placed = ws.save(placed, f"{name}-placed")
@@ -247,31 +260,44 @@ def enlarge(ws: Workspace, graph: DataFrame, vectors: DataFrame, kind: str, how:
     ends = sparse.select("u", "v").union(sparse.select("v", "u")).toDF("id", "other").join(vectors.select(F.col("id").alias("other"), F.col("w").alias("n")), "other")
     sparse_counts = ends.withColumn("near", F.lit(1).cast("long")).groupBy("id").agg(*sums)
     counts = ws.save(dense_counts.unionByName(sparse_counts), f"{name}-counts")
-    return classes, counts
-
+    return classes, counts, full
 
-def audit(vectors: DataFrame, kind: str, counts: DataFrame, how: Descent) -> float:
-    """Share of the true links of ``how.audit_queries`` vectors, chosen by hash, that were found; 1.0 where they have none."""
-    queries = vectors.orderBy(F.xxhash64("id", F.lit(how.seed)), "id").limit(how.audit_queries).collect()  # a stated number of rows
-    if not queries:
-        return 1.0
-    held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-    for dim in {q["dim"] for q in queries}:
-        own = [q for q in queries if q["dim"] == dim]
-        held[dim] = np.array([q["id"] for q in own]), unit_rows([bytes(q["vec"]) for q in own], kind)
-    shared = vectors.sparkSession.sparkContext.broadcast(held)
 
-    def brute(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for dim, part in pdf.groupby("dim"):
-                if dim in shared.value:
-                    ids, q = shared.value[dim]
-                    true = (cosines(q, unit_rows(list(part["vec"]), kind)) >= how.threshold).sum(axis=1) - np.isin(ids, part["id"])
-                    yield pd.DataFrame({"id": ids, "true_links": true})
+def audit(vectors: DataFrame, kind: str, counts: DataFrame, full: DataFrame, how: Descent) -> float:
+    """Mean share of its true links that was found, over vectors with links, chosen by hash; 1.0 where none has links.
 
-    truth = vectors.mapInPandas(brute, "id long, true_links long").groupBy("id").agg(F.sum("true_links").alias("true_links"))
-    both = truth.join(counts, "id", "left").agg(F.sum("true_links").alias("t"), F.sum(F.least("true_links", F.coalesce("n_near", F.lit(0)))).alias("f")).first()
-    return both["f"] / both["t"] if both["t"] else 1.0
+    Every vector counts alike, and those with fewer than ``how.neighbours`` links count apart too: the lower mean is returned. Vectors in
+    ``full(id)`` are not asked, as they have been searched against all. Lots of ``how.audit_queries`` are drawn until ``how.audit_linked``
+    vectors with few links are among them.
+    """
+    asked = vectors.join(full, "id", "left_anti").orderBy(F.xxhash64("id", F.lit(how.seed)), "id").limit(how.audit_queries * how.audit_lots)
+    asked = asked.select("id", "dim", "vec").collect()  # a stated number of rows
+    shares, few = [], []
+    for at in range(0, len(asked), how.audit_queries):
+        queries = asked[at : at + how.audit_queries]
+        held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for dim in {q["dim"] for q in queries}:
+            own = [q for q in queries if q["dim"] == dim]
+            held[dim] = np.array([q["id"] for q in own]), unit_rows([bytes(q["vec"]) for q in own], kind)
+        shared = vectors.sparkSession.sparkContext.broadcast(held)
+
+        def brute(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                for dim, part in pdf.groupby("dim"):
+                    if dim in shared.value:
+                        ids, q = shared.value[dim]
+                        true = (cosines(q, unit_rows(list(part["vec"]), kind)) >= how.threshold).sum(axis=1) - np.isin(ids, part["id"])
+                        yield pd.DataFrame({"id": ids, "true_links": true})
+
+        truth = vectors.select("id", "dim", "vec").mapInPandas(brute, "id long, true_links long").groupBy("id").agg(F.sum("true_links").alias("t")).where("t > 0")
+        for r in truth.join(counts, "id", "left").select("t", F.least("t", F.coalesce("n_near", F.lit(0))).alias("f")).collect():
+            shares.append(r["f"] / r["t"])
+            if r["t"] < how.neighbours:
+                few.append(r["f"] / r["t"])
+        shared.unpersist()
+        if len(few) >= how.audit_linked:
+            break
+    return min((float(np.mean(x)) for x in (shares, few) if x), default=1.0)
 
 
 def near_vectors(embeddings: DataFrame, key: str = "vec_id", vector: str = "embedding", how: Descent = Descent()) -> DataFrame:
@@ -286,9 +312,11 @@ def near_vectors(embeddings: DataFrame, key: str = "vec_id", vector: str = "embe
     graph, classes, counts = None, None, None
     for repeat in range(how.repeats):
         graph = descend(ws, vectors, kind, how, repeat, graph)
-        classes, counts = enlarge(ws, graph, vectors, kind, how, f"final-{repeat}")
-        if audit(vectors, kind, counts, how) >= how.least_recall:
+        classes, counts, full = enlarge(ws, graph, vectors, kind, how, f"final-{repeat}")
+        if audit(vectors, kind, counts, full, how) >= how.least_recall:
             break
+    else:
+        classes, counts, _ = enlarge(ws, graph, vectors, kind, how, "final-whole", whole=True)
     own = vectors.select("id", F.col("w") - 1).toDF("first", "copies")
     told = own.join(counts.withColumnRenamed("id", "first"), "first", "left").join(classes.select(F.col("node").alias("first"), F.col("component").alias("c")), "first", "left")
     told = told.select("first", (F.coalesce("n_links", F.lit(0)) + F.col("copies")).alias("n_links"), F.coalesce("c", "first").alias("c"))
