@@ -45,6 +45,15 @@ def test_secrets():
     assert "hunter2" not in secret_scan.redact(text, spans)
 
 
+def test_constants_are_followed_over_any_number_of_hops():
+    for hops in (5, 40):
+        text = 'v0 = "Xk9#mQ2$vL7p"\n' + "".join(f"v{i + 1} = v{i}\n" for i in range(hops)) + f"password = v{hops}\nv0 = password\n"
+        assert "Xk9#mQ2$vL7p" in [text[a:b] for a, b in secret_scan.named_spans(text)]
+        assert "Xk9#" not in secret_scan.redact(text, secret_scan.all_spans(text))
+    both = 'a = "Xk9#mQ2$vL7p"\npwd = a\nsecret = pwd\nplain = "Zr4!tB8&nW1q"\nb = plain\n'
+    assert [both[a:b] for a, b in secret_scan.named_spans(both)] == ["Xk9#mQ2$vL7p"]
+
+
 def test_secret_rows(spark):
     df = spark.createDataFrame([(1, None, 0), (2, "", 0), (3, "é password=abcdef1", 18), (3, "é password=abcdef1", 18)], "doc_id long, text string, n_chars long")
     got = secret_scan.span_digests(df, ["doc_id"]).collect()

@@ -42,11 +42,10 @@ BARE = re.compile(r"[A-Za-z0-9+/_.=~!@%^&*-]{6,}")
 
 @dataclass(frozen=True)
 class Scan:
-    """``least_score`` of a named literal, ``least_length`` of its characters, and how many hops of constants are followed."""
+    """``least_score`` of a named literal and ``least_length`` of its characters."""
 
     least_score: float = 0.6
     least_length: int = 8
-    hops: int = 4
 
 
 def name_weight(name: str) -> float:
@@ -110,14 +109,18 @@ def named_spans(text: str, how: Scan = Scan()) -> list[tuple[int, int]]:
         return []
     literals, links = name_literal_pairs(text)
     weight = {name: name_weight(name) for name in {*literals, *(a for a, _ in links), *(b for _, b in links)}}
-    for _ in range(how.hops):  # what a sensitive name is assigned becomes as sensitive
-        changed = False
-        for name, source in links:
-            if weight[source] < weight[name]:
-                weight[source] = weight[name]
-                changed = True
-        if not changed:
-            break
+    sources: dict[str, list[str]] = {}
+    for name, source in links:
+        sources.setdefault(name, []).append(source)
+    done = set()
+    for name in sorted(sources, key=weight.__getitem__, reverse=True):  # what a sensitive name is assigned becomes as sensitive, over any number of hops
+        open_, top = [name], weight[name]
+        while open_:
+            name = open_.pop()
+            if name not in done:  # the heaviest name that reaches it came first
+                done.add(name)
+                weight[name] = max(weight[name], top)
+                open_ += sources.get(name, ())
     found = set()
     for name, spans in literals.items():
         if weight[name]:
