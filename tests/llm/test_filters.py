@@ -54,6 +54,16 @@ def test_constants_are_followed_over_any_number_of_hops():
     assert [both[a:b] for a, b in secret_scan.named_spans(both)] == ["Xk9#mQ2$vL7p"]
 
 
+def test_sensitive_names_with_separators():
+    for word in secret_scan.SENSITIVE:
+        for cut in range(1, len(word)):
+            for sign in "_-.":
+                text = f'ssh{sign}{word[:cut]}{sign}{word[cut:]} = "Tr0ub4dor&3xyz"'
+                if secret_scan.name_weight(text.split()[0]) >= 0.8:
+                    assert "Tr0ub4dor&3xyz" in [text[a:b] for a, b in secret_scan.named_spans(text)], text
+    assert secret_scan.redact('ssh_pass_phrase = "Tr0ub4dor&3xyz"', secret_scan.all_spans('ssh_pass_phrase = "Tr0ub4dor&3xyz"')) == 'ssh_pass_phrase = "<secret>"'
+
+
 def test_secret_rows(spark):
     df = spark.createDataFrame([(1, None, 0), (2, "", 0), (3, "é password=abcdef1", 18), (3, "é password=abcdef1", 18)], "doc_id long, text string, n_chars long")
     got = secret_scan.span_digests(df, ["doc_id"]).collect()

@@ -27,7 +27,7 @@ SENSITIVE = {
     "password": 1.0, "passwd": 1.0, "passphrase": 1.0, "pwd": 0.9, "secret": 1.0, "token": 0.8, "apikey": 1.0, "accesskey": 1.0,
     "privatekey": 1.0, "secretkey": 1.0, "encryptionkey": 1.0, "signingkey": 1.0, "credential": 0.9, "credentials": 0.9, "authkey": 0.9, "clientsecret": 1.0,
 }
-#: Every sensitive name contains one of these, in any case; a text with none has no pair to report.
+#: Every sensitive name contains one of these, in any case and without separators; a text with none has no pair to report.
 STEMS = ("passw", "passphrase", "pwd", "secret", "token", "key", "credential")
 PLACEHOLDER = re.compile(r"(?i)^(?:x+|\*+|\.+|changeme|example|placeholder|none|null|true|false|todo|your[_-].*|<.*>|\$\{.*\}|\{\{.*\}\})$")
 
@@ -106,7 +106,9 @@ def named_spans(text: str, how: Scan = Scan()) -> list[tuple[int, int]]:
     """Spans of literals that reach ``how.least_score`` under their own or a propagated target name."""
     low = text.lower()
     if not any(s in low for s in STEMS):
-        return []
+        low = low.replace("_", "").replace("-", "").replace(".", "")  # names are weighed without their separators
+        if not any(s in low for s in STEMS):
+            return []
     literals, links = name_literal_pairs(text)
     weight = {name: name_weight(name) for name in {*literals, *(a for a, _ in links), *(b for _, b in links)}}
     sources: dict[str, list[str]] = {}
