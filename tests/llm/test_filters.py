@@ -122,6 +122,37 @@ def test_near_classes(spark):
     assert order_minhash.near_classes(df.limit(0)).collect() == []
 
 
+def test_short_texts_with_a_word_more(spark):
+    rng = np.random.default_rng(12)
+    words = lambda n: ["".join(rng.choice(list("abcdefgh"), 6)) for _ in range(n)]
+    texts = []
+    for n in (8, 9, 10, 11, 12, 14, 16, 18, 30, 33, 36):
+        for _ in range(3):
+            base, more = words(n), max(1, (n - 4) // 4 if n > 11 else 1)
+            texts += [base, base + words(more)]
+            base = words(n)
+            texts += [base, words(more) + base]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    how = order_minhash.Near()
+    expected = brute(rows, how)
+    assert all(expected[i + 1] == i for i in range(0, len(rows), 2))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"]: r["class_id"] for r in order_minhash.near_classes(df, how=how).collect()} == expected
+    assert {r["doc_id"] for r in order_minhash.keep_one(df).collect()} == set(range(0, len(rows), 2))
+
+
+def test_similar_short_texts_share_a_bucket():
+    rng, how, tried = np.random.default_rng(13), order_minhash.Near(), 0
+    for _ in range(20000):
+        n = int(rng.integers(1, how.sketched_from))
+        a = order_minhash.mix(rng.integers(0, 60, n).astype(np.uint64))
+        b = np.insert(np.delete(a, rng.integers(0, n, rng.integers(0, 3))), 0, order_minhash.mix(rng.integers(100, 200, rng.integers(0, 4)).astype(np.uint64)))
+        if len(b) and order_minhash.aligned(a, b, how.similarity):
+            tried += 1
+            assert {*order_minhash.sketch(a, how).tolist()} & {*order_minhash.sketch(b, how).tolist()}
+    assert tried > 1000
+
+
 def test_texts_with_a_shared_passage(spark, monkeypatch):
     monkeypatch.setattr(order_minhash, "ROUNDS", 1)
     rng = np.random.default_rng(8)

@@ -3,7 +3,8 @@
 A text is the sequence of its five-word shingles, each labelled with its occurrence number, so that the labelled shingles of a text are
 distinct. One sketch takes the ``members`` labelled shingles with least hash and writes them in the order of the text; texts that share
 a sketch share these shingles in that order, which tracks edit similarity rather than set overlap. Candidates share a sketch and are verified
-by banded alignment of their shingle sequences.
+by banded alignment of their shingle sequences. Short texts have too few shingles for sketches: they meet by each of the labelled shingles
+that any similar text shares one of.
 
 Copies are collapsed before anything is compared. The members of a bucket are not paired with each other: in each round a bucket is a star
 around one centre, what the alignment joins becomes one class, and only classes that a bucket still holds apart are compared
@@ -39,6 +40,8 @@ class Near:
     similarity: float = 0.8
     sketches: int = 40
     members: int = 6
+    #: A text of fewer shingles has no sketches but meets every text that is similar enough.
+    sketched_from: int = 30
     seed: int = 20_240_229
 
 
@@ -86,11 +89,15 @@ def labelled(shingles: np.ndarray) -> np.ndarray:
 
 
 def sketch(shingles: np.ndarray, how: Near) -> np.ndarray:
-    """``how.sketches`` bucket keys of one text; none for a text without shingles."""
+    """Bucket keys of one text, none for a text without shingles: ``how.sketches`` of a long text, and its :func:`least_marks` if it
+    or a text that is similar to it can be too short for sketches."""
     marks = labelled(shingles)
     n, m = len(marks), how.members
     if not n:
         return np.zeros(0, np.int64)
+    single = least_marks(marks, how.similarity).view(np.int64) if how.similarity * n < how.sketched_from else np.zeros(0, np.int64)
+    if n < how.sketched_from:
+        return single
     salts = mix(np.arange(1, how.sketches + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(how.seed))
     if n <= m:
         picks = np.broadcast_to(np.arange(n), (how.sketches, n))
@@ -100,7 +107,21 @@ def sketch(shingles: np.ndarray, how: Near) -> np.ndarray:
     with np.errstate(over="ignore"):
         for j in range(picks.shape[1]):
             key = mix(key * np.uint64(0x9E3779B97F4A7C15) + marks[picks[:, j]])
-    return key.view(np.int64)
+    return np.r_[key.view(np.int64), single]
+
+
+def spare(n: int, similarity: float) -> int:
+    """How many first of ``n`` labelled shingles, in an order that all texts use, any text as similar as that must share one of.
+
+    Both texts must share ``similarity`` of the longer one's labelled shingles at least: before the first one that two texts share,
+    neither can have more than it can do without.
+    """
+    return n - int(np.ceil(similarity * n - 1e-9)) + 1
+
+
+def least_marks(marks: np.ndarray, similarity: float) -> np.ndarray:
+    """The labelled shingles of least hash, so many that any text as similar as that has one of them among its own least."""
+    return np.sort(marks)[: spare(len(marks), similarity)]
 
 
 def least_places(marks: np.ndarray, salts: np.ndarray, m: int) -> np.ndarray:
@@ -255,8 +276,8 @@ def verify(ws: Workspace, pairs: DataFrame, texts: DataFrame, how: Near, name: s
 def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", how: Near = Near()) -> DataFrame:
     """``(key, class_id)``: a row for each row of ``docs``; the class is its smallest key among all rows that links join.
 
-    Links join copies (equal words) and texts whose aligned similarity is ``how.similarity`` or more and that share a sketch: at 0.8,
-    all but about one pair in a million. Null, empty and wordless texts link with nothing and are their own class; rows with a null key get
+    Links join copies (equal words) and texts whose aligned similarity is ``how.similarity`` or more and that share a bucket: all pairs
+    with a text of fewer than ``how.sketched_from`` shingles, and of longer ones, at 0.8, all but some in a million. Null, empty and wordless texts link with nothing and are their own class; rows with a null key get
     a null class. Rows that share a key share its class, and come back each; an empty table gives an empty one.
     """
     ws = Workspace(docs.sparkSession, "near")
@@ -331,11 +352,9 @@ def slot_of(marks: np.ndarray) -> np.ndarray:
 def rare_marks(marks: np.ndarray, counts: np.ndarray, similarity: float) -> np.ndarray:
     """The rarest labelled shingles of a text, so many that any text as similar as that has one of them among its own rarest.
 
-    Both texts must share ``similarity`` of the longer one's labelled shingles at least, and all texts rank by the same order (count, then
-    hash): before the first one that two texts share, neither can have more than it can do without.
+    All texts rank by the same order: count, then hash.
     """
-    spare = len(marks) - int(np.ceil(similarity * len(marks) - 1e-9)) + 1
-    return marks[np.lexsort((marks, counts[slot_of(marks)]))[:spare]]
+    return marks[np.lexsort((marks, counts[slot_of(marks)]))[: spare(len(marks), similarity)]]
 
 
 def exact_rest(ws: Workspace, members: DataFrame, texts: DataFrame, how: Near) -> DataFrame:
