@@ -89,6 +89,14 @@ def test_warc_with_magic_in_payloads(spark):
     assert warc.archive_round_trip(df.limit(0)).collect() == []
 
 
+def test_warc_with_ids_of_64_bits(spark):
+    ids = [2**63 - 1, 10**18 + 1, -(2**63), -(10**18) - 3, 5]
+    df = spark.createDataFrame([(i, "u", "same") for i in ids] + [(7, "u", "other")], "page_id long, url string, html string")
+    got = {r["page_id"]: r for r in warc.archive_round_trip(df).collect()}
+    assert {*got} == {*ids, 7} and all(got[i]["payload_bytes"] == 4 for i in ids)
+    assert {got[i]["refers_to"] for i in ids} == {None, 2**63 - 1} and got[2**63 - 1]["record_type"] == "response"
+
+
 def brute(texts, how):
     h = {i: order_minhash.shingle_hashes(order_minhash.words_of(t), how.words) for i, t in texts}
     root = {i: i for i in h}

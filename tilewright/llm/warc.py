@@ -94,7 +94,7 @@ def parse_record(value: bytes) -> dict:
     block = value[head : head + content]
     if fields.get("content-type", "").startswith("application/http"):
         block = block[block.find(b"\r\n\r\n") + 4 :] if b"\r\n\r\n" in block else b""
-    number = lambda x: int(x) if x and re.fullmatch(r"-?[0-9]{1,18}", x) else None
+    number = lambda x: int(x) if x and re.fullmatch(r"-?[0-9]{1,19}", x) and -(2**63) <= int(x) < 2**63 else None
     revisit = fields.get("warc-type") == "revisit"
     own = fields.get("warc-payload-digest", "").removeprefix("sha1:") if revisit else base64.b32encode(hashlib.sha1(block).digest()).decode()
     return out | {
