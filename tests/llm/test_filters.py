@@ -149,6 +149,15 @@ def test_short_texts_with_a_word_more(spark):
     assert {r["doc_id"] for r in order_minhash.keep_one(df).collect()} == set(range(0, len(rows), 2))
 
 
+def test_unlike_texts_with_one_key_stay(spark):
+    rng = np.random.default_rng(14)
+    texts = [" ".join("".join(rng.choice(list("abcdefgh"), 6)) for _ in range(40)) for _ in range(4)]
+    rows = [(1, texts[0]), (1, texts[1]), (1, texts[1]), (2, texts[1] + " more"), (3, texts[0]), (4, texts[2]), (4, texts[2]), (5, texts[3]), (6, ""), (6, ""), (None, texts[0])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r["doc_id"] or 0, r["text"]) for r in order_minhash.keep_one(df).collect())
+    assert got == sorted([(1, texts[0]), (1, texts[1]), (4, texts[2]), (5, texts[3]), (6, ""), (6, ""), (0, texts[0])])
+
+
 def test_similar_short_texts_share_a_bucket():
     rng, how, tried = np.random.default_rng(13), order_minhash.Near(), 0
     for _ in range(20000):

@@ -388,23 +388,27 @@ def exact_rest(ws: Workspace, members: DataFrame, texts: DataFrame, how: Near) -
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", how: Near = Near()) -> DataFrame:
-    """The rows of ``docs`` that stay: of each class the row with the smallest key; equal rows of that key stay once.
+    """The rows of ``docs`` that stay: of each class the row with the smallest key, and of alike rows with that key one.
 
-    Rows that link with nothing all stay, also those with a null key. All columns come back in order.
+    Rows are compared as rows, so unlike texts with one key all stay. Rows that link with nothing stay too, also those with a null key.
+    All columns come back in order.
     """
     ws = Workspace(docs.sparkSession, "near-keep")
     names = docs.columns
-    classes = ws.save(near_classes(docs, key, text, how).where("class_id is not null").groupBy(F.col(key).alias("_key")).agg(F.min("class_id").alias("_class")), "classes")
-    gone = classes.where("_key <> _class").select("_key")
     held = docs.toDF(*[f"_c{i}" for i in range(len(names))])
     at, words_at = f"_c{names.index(key)}", f"_c{names.index(text)}"
-    stay = held.join(gone, held[at] == F.col("_key"), "left_anti")
-    twice = stay.where(F.col(at).isNotNull()).groupBy(at).agg(F.count("*").alias("_n")).where("_n > 1").select(F.col(at).alias("_key"))
-    repeated = ws.save(twice, "repeated")
+    number = F.col(at).cast("long")
+    repeated = ws.save(held.select(number.alias("_key")).where("_key is not null").groupBy("_key").agg(F.count("*").alias("_n")).where("_n > 1"), "repeated")
     if repeated.isEmpty():
-        return stay.toDF(*names)
-    once = stay.join(repeated, stay[at] == F.col("_key"), "left_semi")
-    has_words = F.regexp_like(F.coalesce(F.col(words_at), F.lit("")), F.lit(r"(?U)\w"))
-    first = Window.partitionBy(at).orderBy(words_at, *[c for c in held.columns if c not in (at, words_at)])
-    single = once.where(has_words).withColumn("_r", F.row_number().over(first)).where("_r = 1").drop("_r")
-    return stay.join(repeated, stay[at] == F.col("_key"), "left_anti").unionByName(single).unionByName(once.where(~has_words)).toDF(*names)
+        gone = ws.save(near_classes(docs, key, text, how).where(F.col("class_id") != F.col(key).cast("long")).select(F.col(key).alias("_key")), "gone")
+        return held.join(gone, held[at] == F.col("_key"), "left_anti").toDF(*names)
+    rows = ws.save(held.withColumn("_row", F.when(number.isNotNull(), F.monotonically_increasing_id())), "rows")
+    classes = near_classes(rows, "_row", words_at, how).where("class_id is not null").withColumnRenamed("class_id", "_class")
+    classes = ws.save(classes.join(rows.select("_row", number.alias("_key")), "_row"), "classes")
+    first = classes.groupBy("_class").agg(F.min("_key").alias("_key"))
+    least = ws.save(classes.join(first, ["_class", "_key"]), "least")
+    several = least.groupBy("_class").agg(F.count("*").alias("_n")).where("_n > 1").select("_class")
+    order = Window.partitionBy("_class").orderBy(words_at, *[c for c in held.columns if c not in (at, words_at)])
+    picked = rows.join(least.join(several, "_class", "left_semi").select("_row", "_class"), "_row").withColumn("_r", F.row_number().over(order)).where("_r = 1")
+    stay = ws.save(least.join(several, "_class", "left_anti").select("_row").union(picked.select("_row")), "stay")
+    return rows.join(stay, "_row", "left_semi").unionByName(rows.where("_row is null")).drop("_row").toDF(*names)
