@@ -5,10 +5,11 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tilewright.llm.arrow_rows import with_made
+
 #: Characters of text whose distinct pre-tokens share the matrices.
 BATCH_CHARS = 4_000_000
 
@@ -28,25 +29,22 @@ def slices(texts: list, most: int = BATCH_CHARS) -> Iterator[tuple[int, int]]:
 def encode_column(docs: DataFrame, carry: list[str], path: str, pattern: str, text: str = "text") -> DataFrame:
     """The columns ``carry`` and ``ids array<int>``, a row for each row, over whole texts; null counts as empty, which has no ids.
 
-    A row depends on itself only; repeated rows each come back and an empty table gives an empty one. Carried columns go through by place.
+    A row depends on itself only; repeated rows each come back and an empty table gives an empty one. A very long text takes memory in
+    proportion to it, and time about in proportion, also where it is one pre-token. Carried columns go through unchanged, by place.
     """
-    return _mapped(docs, carry, path, pattern, text, "ids array<int>", lambda coder, ids, t: (ids.tolist(),))
+    return _mapped(docs, carry, path, pattern, text, "ids array<int>", lambda coder, ids: (ids,))
 
 
 def decode_column(docs: DataFrame, carry: list[str], path: str, pattern: str, ids: str = "ids") -> DataFrame:
     """The columns ``carry`` and ``decoded binary``; null ids count as none and give empty bytes."""
-    from tilewright.llm.byte_bpe import encoder
 
-    held = docs.select(*[docs[f"`{c}`"].alias(f"_c{i}") for i, c in enumerate(carry)], docs[ids].alias("_ids"))
+    def start():
+        from tilewright.llm.byte_bpe import encoder
 
-    def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         coder = encoder(path, pattern)
-        for pdf in batches:
-            yield pdf.assign(decoded=[b"" if x is None else coder.decode(x) for x in pdf.pop("_ids")])
+        return lambda lists: [[b"" if x is None else coder.decode(x) for x in lists]]
 
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in held.schema[: len(carry)]), "decoded binary"])
-    out = held.mapInPandas(decode, schema)
-    return out.select(*[out[f"_c{i}"].alias(c) for i, c in enumerate(carry)], "decoded")
+    return with_made(docs, carry, [docs[ids]], "decoded binary", start)
 
 
 def round_trip_digests(docs: DataFrame, carry: list[str], path: str, pattern: str, text: str = "text") -> DataFrame:
@@ -55,25 +53,22 @@ def round_trip_digests(docs: DataFrame, carry: list[str], path: str, pattern: st
     Encodes and decodes in one pass, so ids never leave the worker; conventions as in :func:`encode_column`.
     """
 
-    def digests(coder, ids, t):
+    def digests(coder, ids):
         return len(ids), hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest(), hashlib.sha256(coder.decode(ids)).hexdigest()
 
     return _mapped(docs, carry, path, pattern, text, "n_tokens long, ids_sha256 string, decoded_sha256 string", digests)
 
 
 def _mapped(docs: DataFrame, carry: list[str], path: str, pattern: str, text: str, added: str, row) -> DataFrame:
-    from tilewright.llm.byte_bpe import encoder
-
-    names = [x.split()[0] for x in added.split(", ")]
-    held = docs.select(*[docs[f"`{c}`"].alias(f"_c{i}") for i, c in enumerate(carry)], F.coalesce(docs[text], F.lit("")).alias("_text"))
+    def start():
+        from tilewright.llm.byte_bpe import encoder
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         coder = encoder(path, pattern)
-        for pdf in batches:
-            texts = list(pdf.pop("_text"))
-            made = [row(coder, ids, t) for a, b in slices(texts) for ids, t in zip(coder.encode(texts[a:b]), texts[a:b])]
-            yield pdf.assign(**{n: [m[k] for m in made] for k, n in enumerate(names)})
-
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in held.schema[: len(carry)]), added])
-    out = held.mapInPandas(run, schema)
-    return out.select(*[out[f"_c{i}"].alias(c) for i, c in enumerate(carry)], *names)
+
+        def make(texts):
+            made = [row(coder, ids) for a, b in slices(texts) for ids in coder.encode(texts[a:b])]
+            return [[m[k] for m in made] for k in range(added.count(",") + 1)]
+
+        return make
+
+    return with_made(docs, carry, [F.coalesce(docs[text], F.lit(""))], added, start)

@@ -3,6 +3,7 @@
 Distinct pre-tokens are bucketed by byte length into padded matrices of token ids. In each round every row that still has a mergeable
 pair merges its leftmost pair of least rank; ranks of pairs come from an open-addressing table probed for whole matrices at a time,
 rows are compacted by one shift, and finished rows leave the matrix. After a merge only the two pairs at its place are looked up.
+A very long row has a matrix of its own, in which a round takes all merges that single rounds would take one after another.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ from tilewright.llm.stretch_coder import REMEMBERED, StretchCoder, gather
 NO_RANK = np.int32(2**31 - 1)
 #: Cells of one padded matrix.
 CELLS = 1 << 20
+#: A row of so many bytes is merged alone, many pairs a round.
+LONG = 1 << 10
 
 class PairTable:
     """Ranks of pairs of ids in an open-addressing hash table; ids are ranks of byte strings."""
@@ -97,6 +100,10 @@ class ByteBpe(StretchCoder):
         at = 0
         while at < len(order):
             width = max(1, len(tokens[order[at]]))
+            if width >= LONG:
+                out[order[at]] = self._merge_long(tokens[order[at]])
+                at += 1
+                continue
             room = 1 << (width - 1).bit_length()  # the bucket: up to the next power of two
             stop = at + 1
             while stop < len(order) and len(tokens[order[stop]]) <= room and (stop - at + 1) * len(tokens[order[stop]]) <= CELLS:
@@ -132,17 +139,6 @@ class ByteBpe(StretchCoder):
                     break
                 width = int(lengths.max())
                 ids, ranks = ids[:, : width + 1], ranks[:, :width]
-            if len(rows) == 1:  # a very long row: shift in place
-                p, n = int(best[0]), int(lengths[0])
-                row, held = ids[0], ranks[0]
-                row[p] = least[0]
-                row[p + 1 : n] = row[p + 2 : n + 1]
-                held[p:n - 1] = held[p + 1 : n]
-                held[n - 1 :] = NO_RANK
-                spots = [q for q in (p - 1, p) if 0 <= q < len(held)]
-                held[spots] = self.table.lookup(row[spots], row[[q + 1 for q in spots]])
-                lengths[0] -= 1
-                continue
             line = np.arange(len(rows))
             ids[line, best] = least
             source = np.arange(ids.shape[1] - 1)[None, :]
@@ -157,6 +153,40 @@ class ByteBpe(StretchCoder):
             ranks[back, best[back] - 1] = self.table.lookup(ids[back, best[back] - 1], ids[back, best[back]])
         return done
 
+    def _merge_long(self, token: bytes) -> np.ndarray:
+        """Ids of one long byte string; the same as one merge a round gives.
+
+        A round takes the least rank and its places from the left, none touching the one before. Single rounds would take these in this
+        order, until a merge makes a pair of a still smaller rank with what then stands beside it: the round ends with that merge.
+        """
+        ids = self.byte_id[np.frombuffer(token, np.uint8)]
+        ranks = self.table.lookup(ids[:-1], ids[1:])
+        while len(ranks):
+            least = ranks.min()
+            if least == NO_RANK:
+                break
+            at = np.flatnonzero(ranks == least)
+            breaks = np.r_[True, np.diff(at) > 1]  # runs of touching places: every second one merges
+            first = np.maximum.accumulate(np.where(breaks, at, 0))
+            at = at[(at - first) % 2 == 0]
+            touching = np.r_[False, np.diff(at) == 2]
+            left = np.where(touching, least, ids[np.maximum(at - 1, 0)])
+            before = np.where(at > 0, self.table.lookup(left, np.full_like(left, least)), NO_RANK)
+            right = ids[np.minimum(at + 2, len(ids) - 1)]
+            after = np.where(at + 2 < len(ids), self.table.lookup(np.full_like(right, least), right), NO_RANK)
+            smaller = np.flatnonzero((before < least) | (after < least))
+            if len(smaller):
+                at = at[: smaller[0] + 1]
+            keep = np.ones(len(ids), bool)
+            keep[at + 1] = False
+            ids[at] = least
+            ids, ranks = ids[keep], np.append(ranks, NO_RANK)[keep][:-1]
+            place = at - np.arange(len(at))
+            touched = np.concatenate([place, place - 1])
+            touched = touched[(touched >= 0) & (touched < len(ranks))]
+            ranks[touched] = self.table.lookup(ids[touched], ids[touched + 1])
+        return ids
+
     def encode_new(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Cuts stretches into pre-tokens; those not met before go through the matrices together."""
         cuts = [[x.encode("utf-8", "surrogatepass") for x in self.cut(p)] for p in parts]
