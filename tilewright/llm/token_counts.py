@@ -9,14 +9,14 @@ leading space, and every space starts a word; words are independent, so a worker
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
 import ahocorasick
-import pandas as pd
 from pyspark.sql import DataFrame
 
+from tilewright.llm.arrow_rows import with_made
+
 MARK = "▁"  # stands for a space in vocabularies
 UNKNOWN_PENALTY = 10.0
 #: Distinct words that a worker remembers before it starts anew.
@@ -68,6 +68,7 @@ class Counter:
             for last, match in self.automaton.iter(word):
                 ending[last + 1].append(match)
         best, count, start_unknown = [0.0] * (n + 1), [0] * (n + 1), [-1] * (n + 1)
+        sizes: list[tuple[int, bool]] = [(0, True)] * (n + 1)  # of the unknown run that ends there: bytes, and whether all are byte pieces
         for end in range(1, n + 1):
             score, pieces, run, single = None, 0, -1, False
             for length, own in sorted(ending[end], reverse=True):  # ascending start
@@ -80,16 +81,13 @@ class Counter:
                 if score is None or offered > score:
                     before = start_unknown[end - 1]
                     run = before if before >= 0 else end - 1  # neighbouring unknowns fuse
-                    score, pieces = offered, count[run] + self.unknown_pieces(word[run:end])
+                    raw = word[end - 1].encode("utf-8", "surrogatepass")
+                    n_bytes, known = sizes[end - 1] if before >= 0 else (0, True)
+                    sizes[end] = n_bytes, known = n_bytes + len(raw), known and self.byte_known.issuperset(raw)
+                    score, pieces = offered, count[run] + (n_bytes if known and self.byte_fallback else 1)
             best[end], count[end], start_unknown[end] = score, pieces, run
         return count[n]
 
-    def unknown_pieces(self, run: str) -> int:
-        if not self.byte_fallback:
-            return 1
-        raw = run.encode("utf-8", "surrogatepass")
-        return len(raw) if all(b in self.byte_known for b in raw) else 1
-
     def text(self, text: str) -> int:
         """Number of pieces of a whole text."""
         if not text:
@@ -115,15 +113,12 @@ def count_tokens(docs: DataFrame, carry: list[str], vocabulary_path: str, text:
     """The columns ``carry`` and ``n_tokens long``, a row for each row, over whole texts.
 
     Null and empty texts have 0 tokens. A row depends on itself only; repeated rows each come back, an empty table gives an empty one.
-    The memory of a worker is bounded by the automaton, :data:`REMEMBERED` words, and one text. Carried columns go through by place.
+    The memory of a worker is bounded by the automaton, :data:`REMEMBERED` words, and one Arrow batch; a very long text, or a very long word,
+    takes time in proportion to it. Carried columns go through unchanged, by place.
     """
-    held = docs.select(*[docs[f"`{c}`"].alias(f"_c{i}") for i, c in enumerate(carry)], docs[text].alias("_text"))
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def start():
         own = counter(vocabulary_path)
-        for pdf in batches:
-            yield pdf.assign(n_tokens=[own.text(t) if isinstance(t, str) else 0 for t in pdf.pop("_text")])
+        return lambda texts: [[own.text(t) if t else 0 for t in texts]]
 
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in held.schema[: len(carry)]), "n_tokens long"])
-    out = held.mapInPandas(count, schema)
-    return out.select(*[out[f"_c{i}"].alias(c) for i, c in enumerate(carry)], "n_tokens")
+    return with_made(docs, carry, [docs[text]], "n_tokens long", start)
