@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,6 +21,7 @@ from tilewright.llm.bpe_codec import slices
 from tilewright.workspace import Workspace
 
 HEAD = struct.Struct("<BqB")
+INDEX = pa.schema([("part", pa.int32()), ("file", pa.string()), ("ordinal", pa.int64()), ("offset", pa.int64()), ("length", pa.int64()), ("doc_id", pa.int64()), ("n_ids", pa.int64())])
 CHUNK = 1024
 
 
@@ -98,6 +100,10 @@ def read_frame(stream) -> bytes | None:
     return body[:n]
 
 
+def record_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], type=f.type) for k, f in enumerate(schema)], schema=schema)
+
+
 def filesystem(uri: str):
     """The file system of a shared folder and the path there; a plain path is local."""
     from pyarrow import fs
@@ -111,12 +117,13 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str, end_id: int, tex
     Index columns: ``part`` (files by ascending key), ``file``, ``ordinal``, ``offset``, ``length`` (of the frame), ``doc_id``, ``n_ids``. Rows are dealt out by
     ranges of the key before they are encoded, so no task sorts or holds more than its range. A task writes to a name of its own attempt
     and the index names the attempts that counted; files of lost or repeated attempts are never read. Null text is
-    empty, a null key comes first, equal keys are in no set order, and an empty table gives no file.
+    empty, a null key comes first, equal keys are in no set order, repeated rows are written each, and an empty table gives no file. A very
+    long text is one frame, which a task holds whole, as it does its ids. Other columns of ``docs`` aren't read, so their names can't clash.
     """
     held = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     dealt = held.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
 
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         from tilewright.llm.library_coder import library_coder
@@ -125,23 +132,23 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str, end_id: int, tex
         name = f"records-{task.partitionId():06d}-{task.taskAttemptId()}.bin"
         system, path = filesystem(folder)
         out, ordinal, offset = None, 0, 0
-        for pdf in batches:
-            keys, texts, rows = list(pdf["doc_id"]), list(pdf["text"]), []
+        for batch in batches:
+            keys, texts, rows = batch.column(0).to_pylist(), batch.column(1).to_pylist(), []
             for a, b in slices(texts):
                 for k, ids in zip(keys[a:b], coder.encode(texts[a:b])):
                     if out is None:
                         system.create_dir(path, recursive=True)
                         out = system.open_output_stream(f"{path}/{name}")
                     ids = np.append(ids, end_id)
-                    data = frame(serialise(None if pd.isna(k) else int(k), ids))
+                    data = frame(serialise(k, ids))
                     out.write(data)
-                    rows.append((task.partitionId(), name, ordinal, offset, len(data), None if pd.isna(k) else int(k), len(ids)))
+                    rows.append((task.partitionId(), name, ordinal, offset, len(data), k, len(ids)))
                     ordinal, offset = ordinal + 1, offset + len(data)
-            yield pd.DataFrame(rows, columns=["part", "file", "ordinal", "offset", "length", "doc_id", "n_ids"]).astype({"doc_id": "Int64"})
+            yield record_batch(rows, INDEX)
         if out is not None:
             out.close()
 
-    return dealt.mapInPandas(write, "part int, file string, ordinal long, offset long, length long, doc_id long, n_ids long")
+    return dealt.mapInArrow(write, "part int, file string, ordinal long, offset long, length long, doc_id long, n_ids long")
 
 
 def read_records(index: DataFrame, folder: str) -> DataFrame:
@@ -153,6 +160,10 @@ def read_records(index: DataFrame, folder: str) -> DataFrame:
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     files = files.withColumn("base", F.coalesce(F.sum("ids").over(before), F.lit(0)))
 
+    def numbers(rows: list[tuple]) -> pd.DataFrame:
+        keys = pd.array([r[0] for r in rows], "Int64")  # from Python numbers, so exact beside nulls
+        return pd.DataFrame([r[1:] for r in rows], columns=["start", "n_tokens", "ids_crc32"]).assign(doc_id=keys)
+
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         system, path = filesystem(folder)
         for pdf in batches:
@@ -165,11 +176,11 @@ def read_records(index: DataFrame, folder: str) -> DataFrame:
                         rows.append((doc_id, at, len(ids), zlib.crc32(ids.astype("<u4").tobytes())))
                         at, frames = at + len(ids), frames + 1
                         if len(rows) == 20_000:
-                            yield pd.DataFrame(rows, columns=["doc_id", "start", "n_tokens", "ids_crc32"]).astype({"doc_id": "Int64"})
+                            yield numbers(rows)
                             rows = []
                 if frames != row.frames:
                     raise ValueError(f"{row.file} has {frames} records, the index has {row.frames}")
-                yield pd.DataFrame(rows, columns=["doc_id", "start", "n_tokens", "ids_crc32"]).astype({"doc_id": "Int64"})
+                yield numbers(rows)
 
     # By number: a list of files is small, and would be merged into one task, which would then read all of them.
     n = index.select("file").distinct().count()
@@ -189,7 +200,7 @@ def read_at(index: DataFrame, folder: str) -> DataFrame:
                         stream.seek(int(offset))
                         doc_id, ids = deserialise(read_frame(stream))
                         rows.append((doc_id, ids.astype(np.int32).tolist()))
-            yield pd.DataFrame(rows, columns=["doc_id", "ids"]).astype({"doc_id": "Int64"})
+            yield pd.DataFrame({"doc_id": pd.array([r[0] for r in rows], "Int64"), "ids": [r[1] for r in rows]})
 
     return index.select("file", "offset").mapInPandas(read, "doc_id long, ids array<int>")
 
