@@ -8,6 +8,7 @@ lengths, which is under the capacity, never on the number of documents.
 from __future__ import annotations
 
 from collections import Counter
+from dataclasses import dataclass
 
 import numpy as np
 
@@ -86,36 +87,62 @@ def triangular_inverse(columns: np.ndarray, order: list[int]) -> np.ndarray:
     return out
 
 
-def linear_program(lengths: np.ndarray, demand: np.ndarray, capacity: int, gap: float = 1e-3, rounds: int = 200) -> tuple[np.ndarray, np.ndarray]:
-    """``(patterns, uses)``: one pattern a column, with ``patterns @ uses = demand`` and ``uses >= 0``.
+@dataclass(frozen=True)
+class Program:
+    """The answer of :func:`linear_program`: one pattern a column, its uses, and how it ended."""
 
-    Revised simplex with priced columns. It ends when the objective is within ``gap`` of a lower bound (all ids over the capacity, or
-    the objective over the value of the priced column), or after ``rounds`` pivots; any basis on the way is a whole answer, only a looser one.
+    patterns: np.ndarray
+    uses: np.ndarray
+    #: Knapsack calls, and the proven lower bound of the number of sequences.
+    priced: int
+    bound: float
+    #: ``optimal`` (no column improves), ``whole`` (no whole number under the value is over the bound) or ``gap``.
+    end: str
+
+    @property
+    def gap(self) -> float:
+        return float(self.uses.sum()) / self.bound - 1 if self.bound else 0.0
+
+
+def linear_program(lengths: np.ndarray, demand: np.ndarray, capacity: int, gap: float = 2e-4, shift: float = 1e-4) -> Program:
+    """Column generation until the answer is proven: ``patterns @ uses`` is ``demand`` plus under ``shift`` a length, and ``uses >= 0``.
+
+    Revised simplex from a triangular basis; every entering column is priced by the knapsack. The objective over the value of the priced
+    column, with the duals that it was priced by, is a lower bound (so are all ids over the capacity). It ends when no column improves,
+    when the value is at or under the next whole number over the bound, or within ``gap`` of the bound. Demands are
+    shifted by different tiny amounts, so that no two lengths are used up at once and every pivot makes progress.
     """
-    columns, uses, order = first_basis(lengths, demand, capacity)
+    m = len(lengths)
+    shifted = demand + shift * (0.5 + 0.5 * np.modf((np.arange(m) + 1) * 0.6180339887498949)[0])
+    columns, uses, order = first_basis(lengths, shifted, capacity)
     inverse = triangular_inverse(columns, order)
-    bound = float((lengths * demand).sum()) / capacity
-    for _ in range(rounds):
-        if uses.sum() <= bound * (1 + gap):
-            break
-        duals = inverse.sum(axis=0)
-        value, entering = knapsack(np.maximum(duals, 0.0), lengths, capacity)
-        bound = max(bound, uses.sum() / value)
+    bound, priced = float((lengths * demand).sum()) / capacity, 0
+    while True:
+        duals = np.maximum(inverse.sum(axis=0), 0.0)
+        value, entering = knapsack(duals, lengths, capacity)
+        priced += 1
+        bound = max(bound, float(duals @ demand) / value)
         if value <= 1 + 1e-9:
+            end = "optimal"
             break
-        way = np.einsum("ij,j->i", inverse, entering)
-        rising = np.flatnonzero(way > 1e-9)
-        if not len(rising):
+        if uses.sum() <= np.ceil(bound - 1e-6) + 1e-6:
+            end = "whole"
+            break
+        if uses.sum() <= bound * (1 + gap):
+            end = "gap"
             break
+        way = inverse @ entering
+        rising = np.flatnonzero(way > 1e-9)  # never empty: the entering pattern holds a length whose demand is bounded
         leaving = rising[np.argmin(uses[rising] / way[rising])]
         step = uses[leaving] / way[leaving]
         uses = np.maximum(uses - step * way, 0.0)
         uses[leaving] = step
         row = inverse[leaving] / way[leaving]
-        inverse -= np.outer(way, row)
+        moved = np.flatnonzero(np.abs(way) > 1e-13)
+        inverse[moved] -= np.multiply.outer(way[moved], row)
         inverse[leaving] = row
         columns[:, leaving] = entering
-    return columns, uses
+    return Program(columns, uses, priced, bound, end)
 
 
 def best_fit(rest: dict[int, int], capacity: int) -> Counter[Pattern]:
@@ -141,11 +168,11 @@ def solve(histogram: dict[int, int], capacity: int) -> list[tuple[Pattern, int]]
     if lengths[0] < 1 or lengths[-1] > capacity:
         raise ValueError("lengths must be from 1 to the capacity")
     demand = np.array([histogram[int(n)] for n in lengths], float)
-    columns, uses = linear_program(lengths, demand, capacity)
-    columns = columns.astype(np.int64)
+    program = linear_program(lengths, demand, capacity)
+    columns, uses = program.patterns.astype(np.int64), program.uses
     whole = np.floor(uses + 1e-7).astype(np.int64)
     rest = demand.astype(np.int64) - columns @ whole
-    for k in np.flatnonzero(rest < 0):  # a floor that numerical error has lifted
+    for k in np.flatnonzero(rest < 0):  # a floor that the shift or numerical error has lifted
         for j in np.flatnonzero((columns[k] > 0) & (whole > 0)):
             while rest[k] < 0 and whole[j] > 0:
                 whole[j] -= 1

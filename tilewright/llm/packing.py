@@ -11,10 +11,12 @@ from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
+from tilewright.llm.arrow_rows import with_made
 from tilewright.llm.bpe_codec import slices
 from tilewright.llm.cutting_stock import segments, solve
 from tilewright.workspace import Workspace
@@ -25,47 +27,51 @@ RANKED_TOGETHER = 50_000
 
 def tokenised(docs: DataFrame, carry: list[str], tokenizer: str, end_id: int, capacity: int, text: str) -> DataFrame:
     """The columns ``carry`` as ``_c<i>``, ``n`` tokens with the end id, and ``crcs``: of each piece of ``capacity`` ids, then the tail."""
-    held = docs.select(*[docs[f"`{c}`"].alias(f"_c{i}") for i, c in enumerate(carry)], F.coalesce(docs[text], F.lit("")).alias("_text"))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def start():
         from tilewright.llm.library_coder import library_coder
 
         coder = library_coder(tokenizer)
-        for pdf in batches:
-            texts, n, crcs = list(pdf.pop("_text")), [], []
+
+        def make(texts):
+            n, crcs = [], []
             for a, b in slices(texts):
                 for ids in coder.encode(texts[a:b]):
                     raw = np.append(ids, end_id).astype("<u4")
                     n.append(len(raw))
                     crcs.append([zlib.crc32(raw[k : k + capacity].tobytes()) for k in range(0, len(raw), capacity)])
-            yield pdf.assign(n=n, crcs=crcs)
+            return [n, crcs]
 
-    return held.mapInPandas(run, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in held.schema[: len(carry)]), "n long, crcs array<long>"]))
+        return make
+
+    held = docs.select(*[docs[f"`{c}`"].alias(f"_c{i}") for i, c in enumerate(carry)], F.coalesce(docs[text], F.lit("")).alias("_text"))
+    return with_made(held, held.columns[:-1], [held["_text"]], "n long, crcs array<long>", start)
 
 
 def pack(docs: DataFrame, carry: list[str], tokenizer: str, end_id: int = 0, capacity: int = 1024, text: str = "text") -> DataFrame:
     """The columns ``carry``, ``start``, ``length``, ``ids_crc32``, ``doc_tokens``, ``sequence_id``, ``offset``: a row for each piece.
 
     Sequences are numbered from 0 without gaps: full ones first, then those of the plan. Null and empty texts are one piece, the end id.
-    Ranks are counted in buckets of a hash, so a length that a third of all documents share is ranked by many tasks, and the
-    plan's size depends on the capacity only. Repeated rows are packed each; an empty table gives an empty one. Carried columns go
-    through by place, so their names can't clash.
+    Ranks are counted in buckets of rows, so a length, or one text, that a third of all documents share is ranked by many tasks, and the
+    plan's size depends on the capacity only. Tails of one length are alike to the plan: which gets which place follows the rows' order
+    within a bucket. A very long text is many full pieces; a task holds its ids once. Repeated rows are packed each; an empty table
+    gives an empty one. Carried columns go through unchanged, by place, so their names can't clash.
     """
     spark = docs.sparkSession
     ws = Workspace(spark, "packing")
-    done = ws.save(tokenised(docs, carry, tokenizer, end_id, capacity, text), "tokenised").withColumns({"tail": F.col("n") % capacity, "full": F.expr(f"n div {capacity}")})
+    done = ws.save(tokenised(docs, carry, tokenizer, end_id, capacity, text).withColumn("_row", F.monotonically_increasing_id()), "tokenised").withColumns({"tail": F.col("n") % capacity, "full": F.expr(f"n div {capacity}")})
     histogram = {int(r["tail"]): int(r["count"]) for r in done.groupBy("tail").count().collect()}  # one row for each length under the capacity
     buckets = max(8, -(-sum(histogram.values()) // RANKED_TOGETHER))
     keys = [f"_c{i}" for i in range(len(carry))]
-    done = done.withColumn("bucket", F.pmod(F.xxhash64("n", "crcs"), F.lit(buckets)))
+    done = done.withColumn("bucket", F.pmod(F.xxhash64("_row"), F.lit(buckets)))
     counts = done.groupBy("bucket", "tail").agg(F.count("*").alias("docs"), F.sum("full").alias("fulls"))
     earlier = Window.partitionBy("tail").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     counts = ws.save(counts.withColumn("rank_base", F.coalesce(F.sum("docs").over(earlier), F.lit(0))), "counts")
     sums = counts.groupBy("bucket").agg(F.sum("fulls").alias("fulls"))
     full_base = sums.withColumn("full_base", F.coalesce(F.sum("fulls").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("bucket", "full_base")
     full_count = counts.agg(F.coalesce(F.sum("fulls"), F.lit(0))).first()[0]
-    in_bucket = Window.partitionBy("bucket").orderBy("tail", "crcs", *keys)
-    in_tail = Window.partitionBy("bucket", "tail").orderBy("crcs", *keys)
+    in_bucket = Window.partitionBy("bucket").orderBy("tail", "_row")
+    in_tail = Window.partitionBy("bucket", "tail").orderBy("_row")
     ranked = (
         done.withColumns({"rank": F.row_number().over(in_tail) - 1, "fulls_before": F.sum("full").over(in_bucket.rowsBetween(Window.unboundedPreceding, -1))})
         .join(counts.select("bucket", "tail", "rank_base"), ["bucket", "tail"])
@@ -81,16 +87,19 @@ def pack(docs: DataFrame, carry: list[str], tokenizer: str, end_id: int = 0, cap
         firsts.append(first)
         where.append((first, times, sequence, offset))
     shared = spark.sparkContext.broadcast(by_length)
+    added = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
-    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by_length = shared.value
-        for pdf in batches:
-            row_of, start, length, crc, sequence, offset = [], [], [], [], [], []
-            for i, (n, crcs, tail, rank, full) in enumerate(zip(pdf["n"], pdf["crcs"], pdf["tail"], pdf["rank"], pdf["first_full"])):
+        for batch in batches:
+            row_of, start, length, crc, sequence, offset, total = [], [], [], [], [], [], []
+            values = (batch.column(k).to_pylist() for k in range(len(keys), batch.num_columns))
+            for i, (n, crcs, tail, rank, full) in enumerate(zip(*values)):
                 k = n // capacity
                 row_of += [i] * len(crcs)
+                total += [n] * len(crcs)
                 start += range(0, n, capacity)
-                crc += list(crcs)
+                crc += crcs
                 length += [capacity] * k
                 sequence += range(full, full + k)
                 offset += [0] * k
@@ -100,12 +109,12 @@ def pack(docs: DataFrame, carry: list[str], tokenizer: str, end_id: int = 0, cap
                     length.append(tail)
                     sequence.append(base + (rank - first) // times)
                     offset.append(at + (rank - first) % times * tail)
-            out = pdf.iloc[row_of][keys].reset_index(drop=True)
-            yield out.assign(start=start, length=length, ids_crc32=crc, doc_tokens=pdf["n"].to_numpy()[row_of], sequence_id=sequence, offset=offset)
+            rows = pa.array(row_of, pa.int64())
+            made = [pa.array(x, pa.int64()) for x in (start, length, crc, total, sequence, offset)]
+            yield pa.RecordBatch.from_arrays([batch.column(k).take(rows) for k in range(len(keys))] + made, names=[*keys, *added])
 
-    added = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-    placed = ranked.mapInPandas(place, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in ranked.schema[: len(carry)]), added]))
-    return placed.select(*[placed[k].alias(c) for k, c in zip(keys, carry)], *[x.split()[0] for x in added.split(", ")])
+    placed = ranked.mapInArrow(place, StructType([*ranked.schema[: len(carry)], *(StructField(x, LongType()) for x in added)]))
+    return placed.select(*[placed[k].alias(c) for k, c in zip(keys, carry)], *added)
 
 
 def sequences(pieces: DataFrame, capacity: int = 1024, pad_id: int = 0) -> DataFrame:
