@@ -52,8 +52,9 @@ def word_array(text: Column) -> Column:
 def with_base_measures(df: DataFrame, text: str = "text") -> DataFrame:
     """Adds ``n_lines`` and the five columns of :data:`BASE`, over the whole text; all zero for null, empty or blank text.
 
-    Everything stays in the row. A five-word window is compared by the 64-bit hash of its words; only rows in which two windows
-    agree sort their windows, so the usual row costs one hash a word. The working columns start with ``_q_``.
+    Everything stays in the row. Rows in which the 64-bit hashes of two five-word windows agree sort the windows and compare those with equal
+    hashes by their words; the usual row costs one hash a word. A very long text takes memory and time in proportion to it, but for
+    the sort. The working columns start with ``_q_``.
     """
     t = F.coalesce(F.col(text), F.lit(""))
     ws_free = F.translate(t, SPACES, "")
@@ -70,17 +71,21 @@ def with_base_measures(df: DataFrame, text: str = "text") -> DataFrame:
         "n_lines": F.size("_q_lines").cast("long"), "n_dup_lines": (F.size("_q_lines") - F.size(F.array_distinct("_q_lines"))).cast("long"), "_q_hash": hashes,
     })
     df = df.withColumn("_q_twice", F.size(F.array_distinct("_q_hash")) < F.size("_q_hash"))
-    placed = F.array_sort(F.transform("_q_hash", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    df = df.withColumn("_q_sorted", F.when(F.col("_q_twice"), placed))
+    by_hash = F.array_sort(F.transform("_q_hash", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    df = df.withColumn("_q_sorted", F.when(F.col("_q_twice"), by_hash))
     near = lambda i: F.get(F.col("_q_sorted"), i)["h"]
-    starts = F.sort_array(F.array_compact(F.transform("_q_sorted", lambda x, i: F.when((near(i - 1) == x["h"]) | (near(i + 1) == x["h"]), x["i"]))))
+    words_at = lambda i: F.concat_ws(" ", F.slice("_q_words", i + 1, F.lit(5)))  # noqa: E731  no word holds a space
+    alike = F.array_compact(F.transform("_q_sorted", lambda x, i: F.when((near(i - 1) == x["h"]) | (near(i + 1) == x["h"]), F.struct(words_at(x["i"]).alias("w"), x["i"].alias("i")))))
+    df = df.withColumn("_q_alike", F.array_sort(alike))
+    beside = lambda i: F.get(F.col("_q_alike"), i)["w"]
+    starts = F.sort_array(F.array_compact(F.transform("_q_alike", lambda x, i: F.when((beside(i - 1) == x["w"]) | (beside(i + 1) == x["w"]), x["i"]))))
     df = df.withColumn("_q_starts", starts)
     n = F.size("_q_starts")
     overlap = F.aggregate(
         F.zip_with(F.slice("_q_starts", F.lit(1), n - 1), F.slice("_q_starts", F.lit(2), n - 1), lambda a, b: F.greatest(F.lit(5) - (b - a), F.lit(0)).cast("long")), F.lit(0).cast("long"), lambda s, x: s + x
     )
     df = df.withColumn("n_repeat_words", F.when(F.col("_q_twice"), 5 * n.cast("long") - overlap).otherwise(F.lit(0).cast("long")))
-    return df.drop("_q_words", "_q_lines", "_q_hash", "_q_twice", "_q_sorted", "_q_starts")
+    return df.drop("_q_words", "_q_lines", "_q_hash", "_q_twice", "_q_sorted", "_q_alike", "_q_starts")
 
 
 def base_failed() -> Column:
@@ -157,31 +162,41 @@ def within_fences() -> Column:
     return ok
 
 
-def _judged(docs: DataFrame, carry: list[str], how: Fences, text: str) -> DataFrame:
-    """The carried columns as ``_c<i>`` beside measures, ``base_failed`` and ``kept``."""
-    ws = Workspace(docs.sparkSession, "quality")
-    held = docs.select(*[F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(carry)], F.col("lang").alias("lang"), F.col("source").alias("source"), F.col(text).alias("_q_text"))
-    measured = ws.save(with_base_measures(held, "_q_text").drop("_q_text"), "measured")
-    fences = ws.save(fence_table(ws, measured, how), "fences")
+def _judge(ws: Workspace, measured: DataFrame, fences: DataFrame, how: Fences) -> DataFrame:
     small = fences.count() <= how.broadcast_rows
     same = F.col("lang").eqNullSafe(F.col("f_lang")) & F.col("source").eqNullSafe(F.col("f_source"))
     judged = measured.join(F.broadcast(fences) if small else fences, same, "left").withColumn("base_failed", base_failed())
-    judged = judged.withColumn("kept", ~F.col("base_failed") & within_fences())
-    return judged
+    # One sum, not a conjunction: parts of a filter on it would else be evaluated again below the join, with all that they are measured from.
+    return judged.withColumn("kept", F.col("base_failed").cast("int") + (~within_fences()).cast("int") == 0)
+
+
+def _held(docs: DataFrame, carry: list[str], text: str) -> DataFrame:
+    """The carried columns as ``_c<i>`` beside ``lang``, ``source`` and the text as ``_q_text``."""
+    return docs.select(*[F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(carry)], F.col("lang").alias("lang"), F.col("source").alias("source"), F.col(text).alias("_q_text"))
 
 
 def quality_verdicts(docs: DataFrame, carry: list[str], how: Fences = Fences(), text: str = "text") -> DataFrame:
     """The columns ``carry`` and :data:`BASE`, ``base_failed``, ``kept``: a row for each row of ``docs``, which needs ``lang`` and ``source``.
 
-    ``kept`` is false where a base rule fails, else true where every metric lies within the fences of the row's language and source.
-    Null, empty or blank text has no words and fails. A null language or source is a group of its own. Repeated rows each count
-    and come back; an empty table gives an empty one. Carried columns go through as ``_c<i>``, so their names can't clash.
+    ``kept`` is false where a base rule fails, else true where every metric lies within the fences of the row's language and source; a
+    value on a fence is within. Null, empty or blank text has no words and fails. A null language or source is a group of its own. Repeated rows
+    each count and come back; an empty table gives an empty one. Texts are measured whole, however long. Carried columns go through as
+    ``_c<i>``, so their names can't clash.
     """
-    judged = _judged(docs, carry, how, text)
+    ws = Workspace(docs.sparkSession, "quality")
+    measured = ws.save(with_base_measures(_held(docs, carry, text), "_q_text").drop("_q_text"), "measured")
+    judged = _judge(ws, measured, ws.save(fence_table(ws, measured, how), "fences"), how)
     return judged.select(*[F.col(f"_c{i}").alias(c) for i, c in enumerate(carry)], *BASE, "base_failed", "kept")
 
 
 def keep_good(docs: DataFrame, how: Fences = Fences(), text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that :func:`quality_verdicts` keeps, with all their columns in order, whatever their names."""
-    names = docs.columns
-    return _judged(docs, names, how, text).where("kept").select(*[F.col(f"_c{i}") for i in range(len(names))]).toDF(*names)
+    """The rows of ``docs`` that :func:`quality_verdicts` keeps, with all their columns in order, whatever their names.
+
+    Texts are measured twice, for the sketches and for the verdict, so that no second copy of them is ever written.
+    """
+    ws, names = Workspace(docs.sparkSession, "quality"), docs.columns
+    measured = ws.save(with_base_measures(_held(docs, [], text), "_q_text").drop("_q_text"), "measured")
+    fences = ws.save(fence_table(ws, measured, how), "fences")
+    ws.keep("fences")
+    judged = _judge(ws, with_base_measures(_held(docs, names, text), "_q_text"), fences, how)
+    return judged.where("kept").select(*[F.col(f"_c{i}") for i in range(len(names))]).toDF(*names)
