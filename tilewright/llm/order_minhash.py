@@ -16,7 +16,7 @@ from __future__ import annotations
 import hashlib
 import re
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,8 +24,10 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tilewright.llm.arrow_rows import with_made
+from tilewright.llm.spread import SENT_ROWS, spread_join
 from tilewright.operators.components import connected_components
-from tilewright.workspace import Workspace
+from tilewright.workspace import Workspace, opened
 
 WORD = re.compile(r"\w+")
 #: Labelled shingles whose hashes for all sketches are held at once.
@@ -210,8 +212,10 @@ def aligned(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
     return len(x) - bits.bit_count() >= need
 
 
-#: Lists of up to so many ids (16 MB) are sent to every task as a filter; longer ones are joined by a shuffle.
-SENT_IDS = 1_000_000
+#: Lists of up to so many ids (64 MB) are sent to every task as a filter; longer ones are joined by a shuffle.
+SENT_IDS = 4_000_000
+#: Texts that one task aligns with one copy of their centre.
+PAIRS_A_PART = 500
 
 
 def only(df: DataFrame, ids: DataFrame, column: str) -> DataFrame:
@@ -223,53 +227,74 @@ def only(df: DataFrame, ids: DataFrame, column: str) -> DataFrame:
 def collapse(ws: Workspace, docs: DataFrame, how: Near) -> tuple[DataFrame, DataFrame]:
     """From ``docs(doc, text)`` every row's ``(doc, first)`` and one row ``(doc, n, keys)`` for each distinct text with words.
 
-    ``first`` is the smallest id among copies, found by a 128-bit hash of the normalised words; a text without words is a copy of nothing.
-    ``n`` counts shingles and ``keys`` are the sketches. No text is moved.
+    ``first`` is the smallest id among copies, found by a 128-bit hash of the normalised words; a text without words is a copy of nothing
+    and, like a row without id, has none. ``n`` counts shingles and ``keys`` are the sketches. No text is moved, and sketches are moved only
+    where the list of texts with copies is too long to be sent.
     """
 
-    def hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
+    def start():
+        def make(texts):
             copies, counts, keys = [], [], []
-            for t in pdf["text"]:
-                words = words_of(t if isinstance(t, str) else None)
+            for t in texts:
+                words = words_of(t)
                 marks = shingle_hashes(words, how.words)
                 copies.append(hashlib.blake2b("\n".join(words).encode("utf-8", "surrogatepass"), digest_size=16).digest() if words else None)
                 counts.append(len(marks))
                 keys.append(sketch(marks, how))
-            yield pdf[["doc"]].assign(copy=copies, n=counts, keys=keys)
+            return [copies, counts, keys]
+
+        return make
 
-    raw = ws.save(docs.mapInPandas(hashes, "doc long, copy binary, n long, keys array<long>"), "hashed")
-    firsts = raw.where("copy is not null").groupBy("copy").agg(F.min("doc").alias("doc"), F.min("n").alias("n"), F.min("keys").alias("keys"))  # copies have equal keys
-    sketches = ws.save(firsts, "sketches")
-    rows = ws.save(raw.select("doc", "copy").join(sketches.select("copy", F.col("doc").alias("first")), "copy", "left").select("doc", "first"), "rows")
-    ws.drop("hashed")
-    return rows, sketches
+    raw = ws.save(with_made(docs, ["doc"], [docs["text"]], "copy binary, n long, keys array<long>", start).where("doc is not null and copy is not null"), "hashed")
+    repeats = raw.groupBy("copy").agg(F.min("doc").alias("first"), F.count("*").alias("times")).where("times > 1")
+    repeats = ws.save(repeats.select("copy", "first"), "repeats")
+    firsts = spread_join(raw.select("doc", "copy"), repeats, ["copy"], "left")
+    copies = ws.save(firsts.where("doc <> first").select("doc", "first"), "copies")
+    sketches = ws.save(spread_join(raw, repeats, ["copy"], "left").where("first is null or doc = first").select("doc", "n", "keys"), "sketches")
+    ws.drop("hashed", "repeats")
+    return copies, sketches
 
 
 def shingled(ws: Workspace, docs: DataFrame, ids: DataFrame, how: Near) -> DataFrame:
     """``(doc, shingles)`` of the rows whose id is in ``ids(id)``: raw bytes of the 64-bit hashes, in the order of the text."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            yield pdf[["doc"]].assign(shingles=[shingle_hashes(words_of(t if isinstance(t, str) else None), how.words).tobytes() for t in pdf["text"]])
+    def start():
+        return lambda texts: [[shingle_hashes(words_of(t), how.words).tobytes() for t in texts]]
 
-    return ws.save(only(docs, ids, "doc").mapInPandas(run, "doc long, shingles binary"), "texts")
+    held = only(docs, ids, "doc")
+    return ws.save(with_made(held, ["doc"], [held["text"]], "shingles binary", start), "texts")
 
 
 def verify(ws: Workspace, pairs: DataFrame, texts: DataFrame, how: Near, name: str) -> DataFrame:
-    """``(u, v)`` of the rows of ``pairs(u, v)`` whose texts align; only texts that a pair names are moved."""
-    pairs = ws.save(pairs, f"{name}-pairs")
-    needed = only(texts, pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct(), "doc")
-    left = needed.select(F.col("doc").alias("u"), F.col("shingles").alias("a"))
-    right = needed.select(F.col("doc").alias("v"), F.col("shingles").alias("b"))
+    """``(u, v)`` of the rows of ``pairs(centre, doc)`` whose texts align.
+
+    Each text goes once to each of its centres; a centre with many texts is dealt to several tasks, with a copy of its text for each.
+    """
+    pairs = ws.save(pairs.select("centre", "doc").distinct(), f"{name}-pairs")
+    many = pairs.groupBy("centre").agg(F.ceil(F.count("*") / PAIRS_A_PART).cast("int").alias("parts")).where("parts > 1")
+    dealt = spread_join(pairs, ws.save(many, f"{name}-many"), ["centre"], "left")
+    dealt = ws.save(dealt.select("centre", "doc", F.pmod(F.xxhash64("doc"), F.coalesce("parts", F.lit(1))).cast("int").alias("part")), f"{name}-dealt")
+    centres = dealt.select("centre", "part").distinct()
+    sent = lambda df: F.broadcast(df) if df.count() <= SENT_ROWS else df
+    first = texts.withColumnRenamed("doc", "centre").join(sent(centres), "centre").select("centre", "part", F.lit(0).alias("role"), F.col("centre").alias("doc"), "shingles")
+    others = texts.join(sent(dealt), "doc").select("centre", "part", F.lit(1).alias("role"), "doc", "shingles")
+    rows = first.union(others).repartition("centre", "part").sortWithinPartitions("centre", "part", "role")
 
     def align(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        middle = np.zeros(0, np.uint64)
         for pdf in batches:
-            near = [aligned(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64), how.similarity) for a, b in zip(pdf["a"], pdf["b"])]
-            yield pdf.loc[near, ["u", "v"]]
-
-    found = ws.save(pairs.join(left, "u").join(right, "v").mapInPandas(align, "u long, v long"), name)
-    ws.drop(f"{name}-pairs")
+            u, v = [], []
+            for centre, role, doc, raw in zip(pdf["centre"], pdf["role"], pdf["doc"], pdf["shingles"]):
+                shingles = np.frombuffer(raw, np.uint64)
+                if role == 0:
+                    middle = shingles
+                elif aligned(middle, shingles, how.similarity):
+                    u.append(centre)
+                    v.append(doc)
+            yield pd.DataFrame({"u": np.array(u, np.int64), "v": np.array(v, np.int64)})
+
+    found = ws.save(rows.mapInPandas(align, "u long, v long").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")), name)
+    ws.drop(f"{name}-pairs", f"{name}-many", f"{name}-dealt")
     return found
 
 
@@ -277,15 +302,18 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", how:
     """``(key, class_id)``: a row for each row of ``docs``; the class is its smallest key among all rows that links join.
 
     Links join copies (equal words) and texts whose aligned similarity is ``how.similarity`` or more and that share a bucket: all pairs
-    with a text of fewer than ``how.sketched_from`` shingles, and of longer ones, at 0.8, all but some in a million. Null, empty and wordless texts link with nothing and are their own class; rows with a null key get
-    a null class. Rows that share a key share its class, and come back each; an empty table gives an empty one.
+    with a text of fewer than ``how.sketched_from`` shingles, and of longer ones, at 0.8, all but some in a million. Null, empty and wordless
+    texts link with nothing and are their own class; rows with a null key link with nothing and get a null class. Rows that share a key share
+    its class, and come back each; an empty table gives an empty one. A task holds two texts at a time, however long. Other columns
+    aren't read, so their names can't clash.
     """
     ws = Workspace(docs.sparkSession, "near")
     held = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
-    rows, sketches = collapse(ws, held, how)
-    slots = sketches.where("doc is not null").select("doc", "n", F.explode(F.array_distinct("keys")).alias("bucket"))
-    shared = slots.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
-    members = ws.save(slots.join(shared, "bucket"), "members")
+    copies, sketches = collapse(ws, held, how)
+    slots = sketches.select("doc", "n", F.explode(F.array_distinct("keys")).alias("bucket"))
+    shared = ws.save(slots.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"), "shared")
+    members = ws.save(spread_join(slots, shared, ["bucket"], "inner"), "members")
+    ws.keep("copies", "members")
     # A text that many others resemble shares most buckets with them: it is the centre to try first.
     weight = members.groupBy("doc").agg(F.sum("size").alias("weight"))
     members = ws.save(members.drop("size").join(weight, "doc").withColumn("class", F.col("doc")), "members-0")
@@ -294,28 +322,35 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", how:
     edges, k = None, 0
     while True:
         # A class is tried by the member that this round's order puts first; texts of the centre's own class have no need to be compared.
-        order = [F.desc("weight"), F.col("doc")] if k == 0 else [F.xxhash64("doc", F.lit(k)), F.col("doc")]
-        lead = members.groupBy("bucket").agg(F.min(F.struct(*[(-F.col("weight")).alias("w") if k == 0 else order[0].alias("w"), F.col("doc").alias("doc"), F.col("class").alias("class"), F.col("n").alias("n")])).alias("c"))
-        apart = members.join(lead, "bucket").where("class <> c.class")
-        fits = F.least(F.col("n"), F.col("c.n")) >= how.similarity * F.greatest(F.col("n"), F.col("c.n"))
-        pairs = apart.where(fits).select(F.least("doc", "c.doc").alias("u"), F.greatest("doc", "c.doc").alias("v")).distinct()
-        near = verify(ws, pairs, texts, how, f"verified-{k}")
+        order = -F.col("weight") if k == 0 else F.xxhash64("doc", F.lit(k))
+        lead = members.groupBy("bucket").agg(F.min(F.struct(order.alias("w"), F.col("doc").alias("doc"), F.col("class").alias("class"), F.col("n").alias("n"))).alias("c"))
+        lead = ws.save(lead.select("bucket", F.col("c.doc").alias("centre"), F.col("c.class").alias("centre_class"), F.col("c.n").alias("centre_n")), f"lead-{k}")
+        told = ws.save(spread_join(members, lead, ["bucket"], "inner").where("doc <> centre"), f"told-{k}")
+        ws.drop(f"members-{k}", f"lead-{k}")
+        fits = F.least("n", "centre_n") >= how.similarity * F.greatest("n", "centre_n")
+        near = verify(ws, told.where((F.col("class") != F.col("centre_class")) & fits), texts, how, f"verified-{k}")
         edges = near if edges is None else edges.union(near)
         classes = connected_components(ws, edges, f"cc-{k}", most=CONTRACTIONS)  # a link that this leaves out costs comparisons only
         # The centre has met every text of its bucket: it leaves the bucket, and a bucket with one class left is settled.
-        rest = members.drop("class").join(lead.select("bucket", F.col("c.doc").alias("centre")), "bucket").where("doc <> centre").drop("centre")
-        rest = rest.join(classes.select(F.col("node").alias("doc"), F.col("component").alias("class")), "doc", "left").withColumn("class", F.coalesce("class", "doc"))
-        open_ = rest.groupBy("bucket").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo < hi").select("bucket")
-        following = ws.save(rest.join(open_, "bucket", "left_semi"), f"members-{k + 1}")
-        ws.drop(f"members-{k}")
-        members, k = following, k + 1
+        rest = spread_join(told.select("bucket", "doc", "n", "weight"), classes.select(F.col("node").alias("doc"), F.col("component").alias("class")), ["doc"], "left")
+        rest = ws.save(rest.withColumn("class", F.coalesce("class", "doc")), f"rest-{k}")
+        open_ = ws.save(rest.groupBy("bucket").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo < hi").select("bucket"), f"open-{k}")
+        members = ws.save(spread_join(rest, open_, ["bucket"], "left_semi"), f"members-{k + 1}")
+        ws.drop(f"told-{k}", f"rest-{k}", f"open-{k}", f"cc-{k}-labels")
+        k += 1
         if members.isEmpty() or k >= ROUNDS:
             break
     if not members.isEmpty():
         edges = edges.union(exact_rest(ws, members, texts, how))
+    ws.drop("texts", f"members-{k}")
     classes = connected_components(ws, edges, "cc-all")
-    final = rows.join(classes.select(F.col("node").alias("first"), F.col("component")), "first", "left")
-    return final.select(F.col("doc").alias(key), F.coalesce("component", "first", "doc").alias("class_id"))
+    # Of each distinct text that a link names, then of its copies; all other rows are their own class.
+    linked = classes.where("node <> component").select(F.col("node").alias("first"), "component")
+    moved = spread_join(copies, linked, ["first"], "left").select("doc", F.coalesce("component", "first").alias("class_id"))
+    moved = ws.save(moved.union(linked.select("first", "component")).groupBy("doc").agg(F.min("class_id").alias("class_id")), "moved")
+    ws.keep("moved")
+    final = spread_join(docs.select(F.col(key).cast("long").alias("doc")), moved, ["doc"], "left")
+    return final.select(F.col("doc").alias(key), F.coalesce("class_id", "doc").alias("class_id"))
 
 
 #: Star rounds before what is still apart is compared by its rare shingles.
@@ -378,20 +413,32 @@ def exact_rest(ws: Workspace, members: DataFrame, texts: DataFrame, how: Near) -
                 yield pd.DataFrame({"mark": np.concatenate(found).view(np.int64), "after": after, "doc": np.repeat(pdf["doc"].to_numpy(), lengths)})
 
     marks = ws.save(held.mapInPandas(rarest, "mark long, after long, doc long").join(rest, "doc"), "rare")
-    several = marks.groupBy("mark").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo < hi").select("mark")
-    open_ = ws.save(marks.join(several, "mark", "left_semi"), "rare-open")
+    several = ws.save(marks.groupBy("mark").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo < hi").select("mark"), "several")
+    open_ = ws.save(spread_join(marks, several, ["mark"], "left_semi"), "rare-open")
+    ws.drop("rare", "several")
     right = open_.select("mark", F.col("doc").alias("other"), F.col("n").alias("m"), F.col("after").alias("other_after"), F.col("class").alias("other_class"))
     need = (F.col("n") + F.col("m")) * (how.similarity / (1 + how.similarity)) - 1e-6
     fits = (F.col("n") - F.col("after") >= need) & (F.col("m") - F.col("other_after") >= need)
     met = open_.join(right, "mark").where((F.col("class") != F.col("other_class")) & (F.col("doc") < F.col("other")) & fits)
-    return verify(ws, met.select(F.col("doc").alias("u"), F.col("other").alias("v")).distinct(), held, how, "verified-rest")
+    found = verify(ws, met.select(F.col("doc").alias("centre"), F.col("other").alias("doc")), held, how, "verified-rest")
+    ws.drop("rest", "rest-texts", "slots", "rare-open")
+    return found
+
+
+def saved(ws: Workspace, make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """What ``make`` returns, written; the workspaces that it was made in are closed."""
+    with opened() as made:
+        out = ws.save(make(), name)
+    for other in made:
+        other.close()
+    return out
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", how: Near = Near()) -> DataFrame:
     """The rows of ``docs`` that stay: of each class the row with the smallest key, and of alike rows with that key one.
 
-    Rows are compared as rows, so unlike texts with one key all stay. Rows that link with nothing stay too, also those with a null key.
-    All columns come back in order.
+    Rows are compared as rows, so unlike texts with one key all stay. Rows that link with nothing stay too, also those with a null key, and
+    null, empty or wordless texts. All columns come back in order, unchanged, whatever their names; an empty table gives an empty one.
     """
     ws = Workspace(docs.sparkSession, "near-keep")
     names = docs.columns
@@ -400,10 +447,11 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", how: Near
     number = F.col(at).cast("long")
     repeated = ws.save(held.select(number.alias("_key")).where("_key is not null").groupBy("_key").agg(F.count("*").alias("_n")).where("_n > 1"), "repeated")
     if repeated.isEmpty():
-        gone = ws.save(near_classes(docs, key, text, how).where(F.col("class_id") != F.col(key).cast("long")).select(F.col(key).alias("_key")), "gone")
-        return held.join(gone, held[at] == F.col("_key"), "left_anti").toDF(*names)
+        gone = saved(ws, lambda: near_classes(docs, key, text, how).where(F.col("class_id") != F.col(key)).select(F.col(key).alias("_key")), "gone")
+        gone = F.broadcast(gone) if gone.count() <= SENT_IDS else gone
+        return held.join(gone, number == F.col("_key"), "left_anti").toDF(*names)
     rows = ws.save(held.withColumn("_row", F.when(number.isNotNull(), F.monotonically_increasing_id())), "rows")
-    classes = near_classes(rows, "_row", words_at, how).where("class_id is not null").withColumnRenamed("class_id", "_class")
+    classes = saved(ws, lambda: near_classes(rows, "_row", words_at, how).where("class_id is not null").withColumnRenamed("class_id", "_class"), "row-classes")
     classes = ws.save(classes.join(rows.select("_row", number.alias("_key")), "_row"), "classes")
     first = classes.groupBy("_class").agg(F.min("_key").alias("_key"))
     least = ws.save(classes.join(first, ["_class", "_key"]), "least")
