@@ -16,6 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tilewright.llm.spread import spread_join
 from tilewright.workspace import Workspace
 
 MAGIC = "WARC/1.1\r\n"
@@ -42,11 +43,14 @@ def write_archives(pages: DataFrame, folder: str, key: str = "page_id", url: str
     Rows with equal payloads of ``least_bytes`` or more: those with the largest key are responses, the others revisits without payload, which refer
     to it; smaller payloads are all responses. A null payload is empty, a null url or key has no header line, and a null key is less
     than any other. Archives are text files whose line separator is the end of a record, so any store that Spark writes to will do.
+    Repeated rows are records each; an empty table gives no record. A task holds one payload at a time, however long. Other columns aren't
+    read, so their names can't clash. Payloads stay where they are unless the list of repeated digests is too long to be sent.
     """
+    ws = Workspace(pages.sparkSession, "warc-write")
     rows = pages.select(F.col(key).cast("long").alias("key"), F.col(url).alias("url"), F.coalesce(F.col(payload), F.lit("")).alias("payload"))
     rows = rows.withColumns({"digest": sha1_base32(F.col("payload")), "bytes": F.octet_length("payload").cast("long")})
     copies = rows.where(F.col("bytes") >= least_bytes).groupBy("digest").agg(F.max("key").alias("first_key"), F.count("*").alias("n")).where("n > 1")
-    told = rows.join(copies.select("digest", "first_key"), "digest", "left")
+    told = spread_join(rows, ws.save(copies.select("digest", "first_key"), "copies"), ["digest"], "left")
     revisit = (F.col("bytes") >= least_bytes) & F.col("first_key").isNotNull() & ~F.col("key").eqNullSafe(F.col("first_key"))
     told = told.withColumn("revisit", F.coalesce(revisit, F.lit(False)))
     line = lambda name, value: F.coalesce(F.concat(F.lit(f"{name}: "), value.cast("string"), F.lit("\r\n")), F.lit(""))
@@ -69,6 +73,7 @@ def write_archives(pages: DataFrame, folder: str, key: str = "page_id", url: str
         block,
     )
     told.select(record.alias("value")).write.option("lineSep", "\r\n\r\n").text(folder)
+    ws.close()
 
 
 def parse_header(head: bytes) -> dict[str, str]:
@@ -142,7 +147,9 @@ def candidates(ws: Workspace, folder: str) -> DataFrame:
     blocks = blocks.withColumn("base", F.coalesce(F.sum("span").over(before), F.lit(0))).drop("span")
     placed = entries.join(blocks, ["file", "block"]).withColumn("start", F.col("base") + F.col("rel") - ROOM)
     placed = placed.withColumn("succ", F.when(F.col("candidate"), F.col("start") + ROOM + F.col("head") + F.col("content") + 4))
-    return ws.save(placed.drop("base"), "placed")
+    placed = ws.save(placed.drop("base"), "placed")
+    ws.drop("entries")
+    return placed
 
 
 def reachable(ws: Workspace, entries: DataFrame) -> DataFrame:
@@ -171,7 +178,14 @@ def reachable(ws: Workspace, entries: DataFrame) -> DataFrame:
 def stitched(ws: Workspace, folder: str, entries: DataFrame, records: DataFrame) -> DataFrame:
     """Records whose payload holds the magic: their stretches are read once more, put together and parsed, with the columns of ``records``."""
     split = records.where("not whole").select("file", F.col("start").alias("owner"), F.col("succ").alias("until"))
-    spans = entries.join(split, (entries["file"] == split["file"]) & (entries["start"] >= split["owner"]) & (entries["start"] < split["until"])).select(entries["file"], "block", "k", "owner", "start")
+    blocks = entries.groupBy("file", "block").agg(F.min("start").alias("lo"), F.max("start").alias("hi"))  # a file has few
+    owners = split.join(blocks, "file").where((F.col("hi") >= F.col("owner")) & (F.col("lo") < F.col("until")))
+    owners = owners.select("file", "block", F.greatest("owner", "lo").alias("start"), F.lit(None).cast("long").alias("k"), F.struct("owner", "until").alias("held"))
+    both = owners.unionByName(entries.select("file", "block", "start", "k", F.lit(None).cast("struct<owner:bigint,until:bigint>").alias("held")))
+    # Records on a chain don't overlap, so the last one that began, here or before this block, is the only one that can own a stretch.
+    so_far = Window.partitionBy("file", "block").orderBy("start", F.col("k").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    spans = both.withColumn("held", F.last("held", ignorenulls=True).over(so_far)).where(F.col("k").isNotNull() & (F.col("start") < F.col("held.until")))
+    spans = spans.select("file", "block", "k", F.col("held.owner").alias("owner"), "start")
     needed = ws.save(spans, "needed")
 
     def number(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -195,11 +209,14 @@ def stitched(ws: Workspace, folder: str, entries: DataFrame, records: DataFrame)
 def read_archives(ws: Workspace, folder: str) -> DataFrame:
     """``(page_id, record_type, refers_to, payload_digest, payload_bytes)`` of every record on the chains; revisits have no bytes of their own.
 
-    The last record on a file's chain must end the file, else the archive is damaged and the read fails.
+    The last record on a file's chain must end the file, else the archive is damaged and the read fails. A number that is no signed 64-bit
+    one is null, as is a header line that is missing. Every record comes back, repeated ones too; a folder without records gives an empty
+    table. A record is parsed whole in one task, however long.
     """
     entries = candidates(ws, folder)
     records = entries.join(reachable(ws, entries), ["file", "start"])
     records = ws.save(records, "records")
+    ws.drop(*[name for name in ws.names if name.startswith("chain-")])
     ends = entries.groupBy("file").agg(F.max(F.col("start") + ROOM + F.col("size")).alias("end"), F.max("size").alias("longest")).where("end > 0 and longest > 0")
     broken = ends.join(records.groupBy("file").agg(F.max("succ").alias("last")), "file", "left").where("last is null or last <> end").select("file").first()
     if broken:
@@ -214,12 +231,17 @@ def read_archives(ws: Workspace, folder: str) -> DataFrame:
 def archive_round_trip(pages: DataFrame, key: str = "page_id", url: str = "url", payload: str = "html", least_bytes: int = 0) -> DataFrame:
     """Writes ``pages`` and reads the archives back: ``(page_id, payload_bytes, payload_digest, record_type, refers_to)``.
 
-    A revisit's bytes are those of the response that it refers to. An empty table gives an empty one.
+    A revisit's bytes are those of the response that it refers to. Null payloads are empty, and rows with a null key are less than all
+    others: of copies with null keys only, each is a response. Rows that share the largest key of a payload are responses each. An empty table
+    gives an empty one. Other columns aren't read, so their names can't clash. The archives go once they are read.
     """
     ws = Workspace(pages.sparkSession, "warc")
     folder = ws.path("archives")
     write_archives(pages, folder, key, url, payload, least_bytes=least_bytes)
     found = ws.save(read_archives(ws, folder), "found")
-    sizes = found.where("record_type = 'response' and page_id is not null").groupBy(F.col("page_id").alias("refers_to"), "payload_digest").agg(F.max("payload_bytes").alias("full_bytes"))
-    full = found.join(sizes, ["refers_to", "payload_digest"], "left")
+    ws.keep("found")
+    ws.drop("archives")
+    referred = found.where("refers_to is not null").select("refers_to").distinct().withColumnRenamed("refers_to", "page_id")
+    sizes = found.where("record_type = 'response' and page_id is not null").join(referred, "page_id", "left_semi").groupBy(F.col("page_id").alias("refers_to"), "payload_digest").agg(F.max("payload_bytes").alias("full_bytes"))
+    full = spread_join(found, ws.save(sizes, "sizes"), ["refers_to", "payload_digest"], "left")
     return full.select(F.col("page_id").alias(key), F.coalesce("payload_bytes", "full_bytes").alias("payload_bytes"), "payload_digest", "record_type", "refers_to")
