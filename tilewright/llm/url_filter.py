@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tilewright.llm.spread import ROWS_A_PART, SENT_ROWS, spread_join
 from tilewright.workspace import Workspace
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -86,20 +87,32 @@ def propagate(ws: Workspace, seeds: DataFrame, edges: DataFrame, how: Propagatio
     """``(host, kind, score)`` after ``how.rounds`` rounds, from ``seeds(host, kind, seed)``; kind is ``trust`` or ``distrust``.
 
     A round is ``(1 - damping) * seed + damping * inflow``; what a host without outgoing links holds isn't sent on. Distrust uses the
-    reversed edges. The flow table is written once; partial sums precede each shuffle, so a hub costs one row a task.
+    reversed edges. The flow table is written once; partial sums precede each shuffle, so a hub costs one row a task. Scores are sent to
+    all tasks where hosts are few; else a hub's links are dealt to several tasks.
     """
     out_w = edges.groupBy("src").agg(F.sum("weight").alias("total"))
     in_w = edges.groupBy("dst").agg(F.sum("weight").alias("total"))
-    trust = edges.join(out_w, "src").select(F.col("src").alias("host"), F.col("dst").alias("to"), F.lit("trust").alias("kind"), (F.col("weight") / F.col("total")).alias("share"))
-    distrust = edges.join(in_w, "dst").select(F.col("dst").alias("host"), F.col("src").alias("to"), F.lit("distrust").alias("kind"), (F.col("weight") / F.col("total")).alias("share"))
+    trust = spread_join(edges, out_w, ["src"], "inner").select(F.col("src").alias("host"), F.col("dst").alias("to"), F.lit("trust").alias("kind"), (F.col("weight") / F.col("total")).alias("share"))
+    distrust = spread_join(edges, in_w, ["dst"], "inner").select(F.col("dst").alias("host"), F.col("src").alias("to"), F.lit("distrust").alias("kind"), (F.col("weight") / F.col("total")).alias("share"))
     flow = ws.save(trust.union(distrust), "flow")
     base = seeds.select("host", "kind", (F.col("seed") * (1 - how.damping)).alias("score"))
     if flow.isEmpty():  # no link between hosts: every round gives the seeds again
         return base
     base = ws.save(base, "base")
+    few = base.select("host").union(flow.select("host")).distinct().count() * 2 <= SENT_ROWS
+    hubs = flow.groupBy("host", "kind").agg(F.ceil(F.count("*") / ROWS_A_PART).cast("int").alias("parts")).where("parts > 1")
+    if not few:  # the links of a hub are dealt to several tasks, each of which gets its score
+        hubs = ws.save(hubs, "hubs")
+        flow = spread_join(flow, hubs, ["host", "kind"], "left")
+        flow = ws.save(flow.withColumn("part", F.pmod(F.xxhash64("to"), F.coalesce("parts", F.lit(1))).cast("int")).drop("parts"), "dealt")
     scores, last = base, None
     for k in range(1, how.rounds + 1):
-        sent = scores.join(flow, ["host", "kind"]).select(F.col("to").alias("host"), "kind", (F.col("score") * F.col("share") * how.damping).alias("score"))
+        if few:
+            met = flow.join(F.broadcast(scores), ["host", "kind"])
+        else:
+            parts = F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))
+            met = flow.join(scores.join(F.broadcast(hubs), ["host", "kind"], "left").withColumn("part", parts).drop("parts"), ["host", "kind", "part"])
+        sent = met.select(F.col("to").alias("host"), "kind", (F.col("score") * F.col("share") * how.damping).alias("score"))
         scores = base.union(sent).groupBy("host", "kind").agg(F.sum("score").alias("score"))
         if k % how.save_every == 0 and k < how.rounds:
             scores = ws.save(scores, f"scores-{k}")
@@ -114,8 +127,9 @@ def filter_urls(pages: DataFrame, rules: list[Rule], how: Propagation = Propagat
 
     ``rule`` is the text of the longest rule that fits, else null. ``verdict`` is that rule's; without one it is ``block`` if the
     host's scores say so (:class:`Propagation`), else ``allow``. A null url, or one without ``://``, has an empty host,
-    which has no links and no seeds: ``allow`` unless a rule fits. Null or empty html has no links. Repeated rows each
-    count and each come back; an empty table gives an empty one. Columns beyond the three named are left out, so their names can't clash.
+    which has no links and no seeds: ``allow`` unless a rule fits. Null or empty html has no links; a very long one is searched whole, in its
+    row. A host on a threshold counts as over it where that is a least value, and as under it where it is a share of trust and distrust.
+    Repeated rows each count and each come back; an empty table gives an empty one. Columns beyond the three named are left out, so their names can't clash.
     """
     judged = pages.select(F.col(key).alias("key"), F.col(url).alias("url"), F.col(html).alias("html"))
     judged = judged.select("key", url_host(F.col("url")).alias("host"), url_path(F.col("url")).alias("path"), "html")
@@ -130,7 +144,7 @@ def filter_urls(pages: DataFrame, rules: list[Rule], how: Propagation = Propagat
     scores = propagate(ws, seeds, edges, how)
     of = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("score"))), F.lit(0.0)).alias(kind)
     hosts = scores.groupBy("host").agg(of("trust"), of("distrust"))
-    both = judged.drop("html").join(hosts, "host", "left").na.fill(0.0, ["trust", "distrust"])
+    both = spread_join(judged.drop("html"), ws.save(hosts, "hosts"), ["host"], "left").na.fill(0.0, ["trust", "distrust"])
     flows = F.when((F.col("distrust") >= how.least_distrust) & (F.col("distrust") > how.block_share * (F.col("trust") + F.col("distrust"))), "block").otherwise("allow")
     return both.select(
         F.col("key").alias(key), "host", "path", F.col("fit.text").alias("rule"), F.coalesce(F.col("fit.verdict"), flows).alias("verdict"), "trust", "distrust"
