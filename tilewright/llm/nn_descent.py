@@ -18,6 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tilewright.llm.spread import spread_join
 from tilewright.operators.components import connected_components
 from tilewright.workspace import Workspace
 
@@ -47,11 +48,22 @@ class Descent:
 def unit_rows(raw: list[bytes], kind: str) -> np.ndarray:
     """Rows of unit length in double precision from the bytes of vectors of one dimension."""
     x = np.frombuffer(b"".join(raw), kind).astype(np.float64).reshape(len(raw), -1)
+    x = np.ldexp(x, -np.frexp(np.abs(x).max(axis=1))[1][:, None])  # exact, and no square over- or underflows
     return x / np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
 
 
-def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.clip(np.einsum("ik,jk->ij", a, b, optimize=False), -1.0, 1.0) if len(a) * len(b) < 64 else np.clip(a @ b.T, -1.0, 1.0)
+#: Cosines this near to the threshold are summed again, in one order for every pair wherever it meets.
+CLOSE = 1e-9
+
+
+def cosines(a: np.ndarray, b: np.ndarray, threshold: float) -> np.ndarray:
+    """Cosines of all pairs of unit rows. Whether one reaches ``threshold`` doesn't depend on the rows that it is computed with."""
+    s = np.clip(a @ b.T, -1.0, 1.0)
+    i, j = np.nonzero(np.abs(s - threshold) <= CLOSE)
+    for k in range(0, len(i), 4096):
+        p, q = i[k : k + 4096], j[k : k + 4096]
+        s[p, q] = np.einsum("ij,ij->i", a[p], b[q])
+    return s
 
 
 def usable(embeddings: DataFrame, key: str, vector: str) -> tuple[DataFrame, str]:
@@ -106,12 +118,12 @@ def signatures(vectors: DataFrame, kind: str, bits: int, how: Descent, repeat: i
 
 def split_groups(rows: DataFrame, how: Descent, salt: int) -> DataFrame:
     """``rows(key, id, ...)`` with keys of over ``how.group`` rows split at random, each key anew, so that no group is larger by more than chance."""
-    sizes = rows.groupBy("key").agg(F.count("*").alias("n"))
-    parts = rows.join(sizes, "key").withColumn("part", F.pmod(F.xxhash64("id", "key", F.lit(salt)), F.ceil(F.col("n") / how.group)))
-    return parts.withColumn("key", F.xxhash64("key", "part")).drop("n", "part")
+    over = rows.groupBy("key").agg(F.ceil(F.count("*") / how.group).alias("parts")).where("parts > 1")  # one key in how.group rows at most
+    parts = spread_join(rows, over, ["key"], "left").withColumn("part", F.pmod(F.xxhash64("id", "key", F.lit(salt)), F.coalesce("parts", F.lit(1))))
+    return parts.withColumn("key", F.xxhash64("key", "part")).drop("parts", "part")
 
 
-def meet(rows: DataFrame, kind: str, top: int) -> DataFrame:
+def meet(rows: DataFrame, kind: str, top: int, threshold: float) -> DataFrame:
     """``(u, v, sim)``: for each row of a group of ``rows(key, id, vec)`` its ``top`` most similar others there."""
     dealt = rows.repartition("key").sortWithinPartitions("key")
 
@@ -137,7 +149,7 @@ def meet(rows: DataFrame, kind: str, top: int) -> DataFrame:
             if b - a < 2 or len({len(r) for r in raw[a:b]}) > 1:
                 continue
             x = unit_rows(raw[a:b], kind)
-            s = cosines(x, x)
+            s = cosines(x, x, threshold)
             np.fill_diagonal(s, -2.0)
             k = min(top, b - a - 1)
             best = np.argpartition(-s, k - 1, axis=1)[:, :k]
@@ -161,7 +173,7 @@ def refine(ws: Workspace, graph: DataFrame, vectors: DataFrame, kind: str, how:
     """One round: neighbours of a node in both directions meet in groups of bounded size."""
     ends = graph.select(F.col("u").alias("key"), F.col("v").alias("id")).union(graph.select(F.col("v"), F.col("u"))).distinct()
     rows = split_groups(ends, how, salt=1).join(vectors.select("id", "vec"), "id")
-    found = meet(rows.select("key", "id", "vec"), kind, max(2, how.neighbours // 2))
+    found = meet(rows.select("key", "id", "vec"), kind, max(2, how.neighbours // 2), how.threshold)
     return ws.save(best_lists(graph.unionByName(found), how.neighbours), name)
 
 
@@ -169,7 +181,7 @@ def descend(ws: Workspace, vectors: DataFrame, kind: str, how: Descent, repeat:
     """``graph(u, v, sim)`` after the rounds of one repeat; ``known`` is an earlier graph to go on from."""
     n = vectors.count()
     bits = max(1, int(np.ceil(np.log2(max(2, n / (how.group / 2))))))
-    start = meet(split_groups(signatures(vectors, kind, bits, how, repeat), how, salt=repeat), kind, how.neighbours)
+    start = meet(split_groups(signatures(vectors, kind, bits, how, repeat), how, salt=repeat), kind, how.neighbours, how.threshold)
     graph = ws.save(best_lists(start if known is None else start.unionByName(known), how.neighbours), f"graph-{repeat}-0")
     for r in range(how.rounds):
         after = refine(ws, graph, vectors, kind, how, f"graph-{repeat}-{r + 1}")
@@ -206,7 +218,7 @@ def leaving(ws: Workspace, placed: DataFrame, full: DataFrame, kind: str, how: D
                             continue
                         ids, classes, q = shared.value[dim]
                         theirs = rows["component"].to_numpy()
-                        i, j = np.nonzero((cosines(q, unit_rows(list(rows["vec"]), kind)) >= how.threshold) & (classes[:, None] != theirs[None, :]))
+                        i, j = np.nonzero((cosines(q, unit_rows(list(rows["vec"]), kind), how.threshold) >= how.threshold) & (classes[:, None] != theirs[None, :]))
                         if len(i):
                             met = pd.DataFrame({"u": ids[i], "v": rows["id"].to_numpy()[j], "a": classes[i], "b": theirs[j]})
                             yield met.drop_duplicates(["a", "b"])[["u", "v"]]
@@ -247,10 +259,10 @@ def enlarge(ws: Workspace, graph: DataFrame, vectors: DataFrame, kind: str, how:
         ids, low, high, w = pdf["id"].to_numpy(), pdf["low"].to_numpy(), pdf["high"].to_numpy(), pdf["w"].to_numpy()
         x = unit_rows(list(pdf["vec"]), kind)
         if (low & high).all():  # a block with itself
-            s = cosines(x, x) >= how.threshold
+            s = cosines(x, x, how.threshold) >= how.threshold
             np.fill_diagonal(s, False)
             return pd.DataFrame({"id": ids, "n": s @ w, "near": s.sum(axis=1)})
-        s = cosines(x[low], x[high]) >= how.threshold
+        s = cosines(x[low], x[high], how.threshold) >= how.threshold
         n, near = np.concatenate([s @ w[high], s.T @ w[low]]), np.concatenate([s.sum(axis=1), s.sum(axis=0)])
         return pd.DataFrame({"id": np.concatenate([ids[low], ids[high]]), "n": n, "near": near})
 
@@ -266,7 +278,7 @@ def enlarge(ws: Workspace, graph: DataFrame, vectors: DataFrame, kind: str, how:
 def audit(vectors: DataFrame, kind: str, counts: DataFrame, full: DataFrame, how: Descent) -> float:
     """Mean share of its true links that was found, over vectors with links, chosen by hash; 1.0 where none has links.
 
-    Every vector counts alike, and those with fewer than ``how.neighbours`` links count apart too: the lower mean is returned. Vectors in
+    Links that were found have been computed, so a vector's count of them over its true count is the share of pairs. Every vector counts alike, and those with fewer than ``how.neighbours`` links count apart too: the lower mean is returned. Vectors in
     ``full(id)`` are not asked, as they have been searched against all. Lots of ``how.audit_queries`` are drawn until ``how.audit_linked``
     vectors with few links are among them.
     """
@@ -286,7 +298,7 @@ def audit(vectors: DataFrame, kind: str, counts: DataFrame, full: DataFrame, how
                 for dim, part in pdf.groupby("dim"):
                     if dim in shared.value:
                         ids, q = shared.value[dim]
-                        true = (cosines(q, unit_rows(list(part["vec"]), kind)) >= how.threshold).sum(axis=1) - np.isin(ids, part["id"])
+                        true = (cosines(q, unit_rows(list(part["vec"]), kind), how.threshold) >= how.threshold).sum(axis=1) - np.isin(ids, part["id"])
                         yield pd.DataFrame({"id": ids, "true_links": true})
 
         truth = vectors.select("id", "dim", "vec").mapInPandas(brute, "id long, true_links long").groupBy("id").agg(F.sum("true_links").alias("t")).where("t > 0")
@@ -304,7 +316,9 @@ def near_vectors(embeddings: DataFrame, key: str = "vec_id", vector: str = "embe
     """``(key, n_links, component_id, kept)``: a row for each row of ``embeddings``.
 
     Vectors that are null, zero, or hold a null or non-finite component link with nothing, nor do vectors of different dimensions. Rows with
-    one id count as one vector (the least of them) and all get its result; a null id gets 0 links and a null component. An empty table gives an empty one.
+    one id count as one vector (the least of them) and all get its result; a null id gets 0 links and a null component. An empty table gives an
+    empty one. A pair with a cosine of the threshold links; vectors are scaled exactly before they are squared, so tiny and huge ones count as
+    others do. Other columns aren't read, so their names can't clash.
     """
     ws = Workspace(embeddings.sparkSession, "descent")
     found, kind = usable(embeddings, key, vector)
