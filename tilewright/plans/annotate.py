@@ -22,9 +22,7 @@ scores as (
 
 def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "embeddings")
-    classes = e.groupBy(F.col("label").alias("class_idx")).agg(F.min_by("embedding", "vec_id").alias("class_embedding"))
-    classes = classes.withColumn("class", F.concat(F.lit("class_"), F.col("class_idx").cast("string")))
-    return op.class_scores(e.select(F.col("vec_id").alias("tile_index"), "embedding"), classes, n_classes=10, dim=64)
+    return op.class_scores(e.select(F.col("vec_id").alias("tile_index"), "embedding"), op.class_vectors(e))
 
 
 @register(

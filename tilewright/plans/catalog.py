@@ -32,7 +32,7 @@ def register(name: str, sql: str | None = None) -> Callable:
 
 
 def _load() -> dict[str, Query]:
-    from tilewright.plans import annotate, feature_queries, tile_queries  # noqa: F401
+    from tilewright.plans import annotate, evaluation_queries, feature_queries, grid_queries, model_queries, slide_queries, tile_queries  # noqa: F401
 
     return _CATALOG
 

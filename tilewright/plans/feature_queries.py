@@ -84,21 +84,22 @@ def class_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores(spark, sf_dir).withColumn("score", F.round("score", 6))
 
 
-@register("top_tiles", f"with {CLASSES_SQL} select * from (select tile_index, class_idx, class, round(score, 6) as score, (row_number() over (partition by class_idx order by score desc, tile_index) - 1)::int as rank from scores) where rank < 5")
+@register("top_tiles", f"with {CLASSES_SQL} select * from (select tile_index, class_idx, class, round(score, 6) as score, (row_number() over (partition by class_idx order by score desc, tile_index) - 1)::int as rank, (tile_index % 25) * 448 as x, (tile_index // 25) * 448 as y from scores) where rank < 5")
 def top_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The five best tiles of each class."""
-    return ann.top_tiles(scores(spark, sf_dir), 5).withColumn("score", F.round("score", 6))
+    """The five best tiles of each class, with their places."""
+    places = {"x": F.expr("(tile_index % 25) * 448"), "y": F.expr("(tile_index div 25) * 448")}
+    return ann.top_tiles(scores(spark, sf_dir), 5).withColumns({"score": F.round("score", 6), **places})
 
 
 @register("class_counts", f"with {CLASSES_SQL}, b as (select tile_index, arg_max(class, (score, -class_idx)) as class from scores group by 1) select class, count(*) as n from b group by 1")
 def class_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tiles of each argmax class."""
+    """Tiles of each argmax class."""
     return ann.best_class(scores(spark, sf_dir)).groupBy("class").agg(F.count("*").alias("n"))
 
 
 @register("hash_sample", "select l_suppkey, l_orderkey, l_linenumber from (select *, row_number() over (partition by l_suppkey order by md5('42:' || l_orderkey || '-' || l_linenumber), l_orderkey || '-' || l_linenumber, l_partkey) as r from lineitem) where r <= 16")
 def hash_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """At most 16 tiles of each slide."""
+    """At most 16 tiles of each slide (R1, R2, R5 by hash)."""
     t = table(spark, sf_dir, "lineitem").withColumn("k", F.concat_ws("-", "l_orderkey", "l_linenumber"))
     return sm.capped(t, 16, 42, "l_suppkey", "k").select("l_suppkey", "l_orderkey", "l_linenumber")
 
@@ -110,7 +111,7 @@ def sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").groupBy((F.col("o_custkey") % 50).alias("sample_id"), F.col("o_custkey").alias("slide_id")).agg(F.count("*").alias("size"))
 
 
-@register("proportional_quotas", f"with {SIZES_SQL}, q as (select *, least(round_even(100.0 * size / total, 0)::bigint, size) as share from s) select sample_id, slide_id, size, (case when total <= 100 then size when slide_id = last then 100 - coalesce(sum(share) over (partition by sample_id order by slide_id rows between unbounded preceding and 1 preceding), 0) else share end)::bigint as quota from q")
+@register("proportional_quotas", f"with {SIZES_SQL}, q as (select *, least(round_even(100.0 * size / total, 0)::bigint, size) as share from s) select sample_id, slide_id, size, (case when total <= 100 then size when slide_id = last then greatest(0, 100 - coalesce(sum(share) over (partition by sample_id order by slide_id rows between unbounded preceding and 1 preceding), 0)) else share end)::bigint as quota from q")
 def proportional_quotas(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quotas by size, the last slide takes the rest."""
     return sm.proportional_quotas(sizes(spark, sf_dir), 100)
@@ -124,7 +125,7 @@ def equal_quotas(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("group_split", "with g as (select distinct l_suppkey as slide_id from lineitem), r as (select slide_id, row_number() over (order by md5('42:' || slide_id), slide_id) as r, greatest(1, round_even(count(*) over () * 0.2, 0)) as t, greatest(1, round_even(count(*) over () * 0.1, 0)) as v from g) select slide_id, case when r <= t then 'test' when r <= t + v then 'val' else 'train' end as split from r")
 def group_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Slides dealt to train, val and test."""
+    """Slides dealt to train, val and test (R6 by hash)."""
     return sm.group_split(table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("slide_id")).distinct(), "slide_id", 0.2, 0.1, 42)
 
 
@@ -163,7 +164,7 @@ def roc_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.roc_points(predictions(spark, sf_dir)).select("threshold", F.round("fpr", 6).alias("fpr"), F.round("tpr", 6).alias("tpr"))
 
 
-@register("calibration", f"with {PRED_SQL} select greatest(ceil(p * 10) - 1, 0)::int as bin, round(avg(p), 6) as mean_p, round(avg(y::double), 6) as observed from pred group by 1")
+@register("calibration", f"with {PRED_SQL} select (case when p <= 0.1 then 0 when p <= 0.2 then 1 when p <= 0.3 then 2 when p <= 0.4 then 3 when p <= 0.5 then 4 when p <= 0.6 then 5 when p <= 0.7 then 6 when p <= 0.8 then 7 when p <= 0.9 then 8 else 9 end)::int as bin, round(avg(p), 6) as mean_p, round(avg(y::double), 6) as observed from pred group by 1")
 def calibration(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Calibration in ten bins (M7)."""
     return m.calibration(predictions(spark, sf_dir)).select("bin", F.round("mean_p", 6).alias("mean_p"), F.round("observed", 6).alias("observed"))
@@ -184,7 +185,7 @@ def slide_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("seed_summary", f"with {PRED_SQL} select round(avg(a), 6) as mean, round(stddev_pop(a), 6) as std, round(quantile_cont(a, 0.025), 6) as low, round(quantile_cont(a, 0.975), 6) as high, round(avg((a > 0.5)::int), 6) as error from (select avg(p) as a from pred group by slide_id)")
 def seed_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Mean, population deviation and percentile interval."""
+    """Mean, population deviation and percentile interval."""
     a = predictions(spark, sf_dir).groupBy("slide_id").agg(F.avg("p").alias("a"))
     q = F.percentile("a", F.array(F.lit(0.025), F.lit(0.975)))
     return a.agg(F.avg("a").alias("mean"), F.stddev_pop("a").alias("std"), F.get(q, F.lit(0)).alias("low"), F.get(q, F.lit(1)).alias("high"), F.avg((F.col("a") > 0.5).cast("int")).alias("error")).select(*[F.round(c, 6).alias(c) for c in ("mean", "std", "low", "high", "error")])
@@ -196,7 +197,7 @@ def rank_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.rank_normalised(predictions(spark, sf_dir), "p").select("slide_id", "p", F.round("rank", 6).alias("rank"))
 
 
-CLUSTER_SQL = "lab as (select l_suppkey as slide_id, (l_partkey * 3 % 4)::int as a, case when l_orderkey % 11 = 0 then -1 else (l_partkey % 5)::int end as b from lineitem), t as (select a, b, count(*) as n, sum(count(*)) over (partition by a) as na, sum(count(*)) over (partition by b) as nb, sum(count(*)) over () as total from lab group by a, b)"
+CLUSTER_SQL = "lab as (select l_suppkey as slide_id, (l_partkey * 3 % 4)::int as a, case when l_orderkey % 11 = 0 then -1 else (l_partkey % 5)::int end as b from lineitem), t as (select a, b, count(*) as n, sum(count(*)) over (partition by a) as na, sum(count(*)) over (partition by b) as nb, sum(count(*)) over () as total from lab where b <> -1 group by a, b)"
 
 
 def clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -215,7 +216,7 @@ def ari(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.ari(clusters(spark, sf_dir)).select(F.round("ari", 6).alias("ari"))
 
 
-@register("purity", f"with {CLUSTER_SQL} select round(sum(top) / sum(n), 6)::double as purity from (select b, max(n) as top, sum(n) as n from t where b <> -1 group by b)")
+@register("purity", f"with {CLUSTER_SQL} select round(sum(top) / sum(n), 6)::double as purity from (select b, max(n) as top, sum(n) as n from t group by b)")
 def purity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Purity without noise."""
     return m.purity(clusters(spark, sf_dir)).select(F.round("purity", 6).alias("purity"))
@@ -229,7 +230,7 @@ def noise_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("majority_vote", f"with {CLUSTER_SQL}, c as (select slide_id, b, count(*) as n from lab group by 1, 2) select slide_id, coalesce(arg_max(b, (n, -b)) filter (b <> -1), -1)::int as label from c group by 1")
 def majority_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Most frequent cluster of a slide."""
+    """Most frequent cluster of a slide."""
     return m.majority(clusters(spark, sf_dir).select("slide_id", F.col("b").alias("label")))
 
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tilewright.functions import slides as names
 from tilewright.operators import tiles as op
 from tilewright.plans.catalog import register
 from tilewright.plans.tables import table
@@ -63,7 +62,7 @@ def tile_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("derived_grid", f"with {TILES_SQL} select distinct slide_id, (floor((x + 224.0) / 1024) * 1024)::bigint as x, (floor((y + 224.0) / 1024) * 1024)::bigint as y from tiles")
 def derived_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Coarser cells that hold a source tile's centre."""
+    """Coarser cells that hold a source tile's centre."""
     return op.coarser(tiles(spark, sf_dir).withColumn("size", F.lit(448)), 1024)
 
 
@@ -106,37 +105,6 @@ def otsu_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.otsu(h)
 
 
-@register(
-    "slide_mpp",
-    """select event_id, case event_id % 7
-  when 0 then 0.25 when 1 then coalesce(try_cast(event_type as double), 0.5) when 2 then 0.499 when 3 then round(25400.0 / (event_id % 90000 + 1), 4)
-  when 4 then round(10000.0 / (event_id % 40000 + 1), 4) when 5 then case when event_id % 3 = 0 then 0.5 else 10.0 / (20 * (event_id % 3)) end else 0.5 end::double as mpp from events""",
-)
-def slide_mpp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The chain of fallbacks for a slide's resolution."""
-    props = F.expr("""case event_id % 7 when 0 then map('tiffslide.mpp-x', '0.25', 'aperio.MPP', '9') when 1 then map('aperio.MPP', event_type)
-      when 2 then map('openslide.mpp-x', '0.499') when 3 then map('tiff.XResolution', string(event_id % 90000 + 1), 'tiff.ResolutionUnit', 'INCH')
-      when 4 then map('tiff.XResolution', string(event_id % 40000 + 1), 'tiff.ResolutionUnit', 'centimeter')
-      when 5 then map('aperio.AppMag', string(20 * (event_id % 3))) else map('other', 'x') end""")
-    return table(spark, sf_dir, "events").withColumn("props", props).select("event_id", names.mpp_of(F.col("props")).alias("mpp"))
-
-
-@register(
-    "best_level",
-    "with l as (select unnest(range(0, 6)) as level) select p_partkey, coalesce(max(level) filter (pow(2.0, level) <= p_retailprice / 90.0), 0)::int as level from part cross join l group by p_partkey",
-)
-def best_level(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The largest level that is no coarser than wanted (S4); levels are six literal rows."""
-    fits = F.filter(F.array(*[F.lit(i) for i in range(6)]), lambda i: F.pow(F.lit(2.0), i) <= F.col("p_retailprice") / 90.0)
-    return table(spark, sf_dir, "part").select("p_partkey", F.coalesce(F.array_max(fits), F.lit(0)).alias("level"))
-
-
-@register("slide_names", "select page_id, regexp_extract(url, '([^/]+?)(?:\\.[^./]*)?$', 1) as slide_id from pages")
-def slide_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Slide ids from paths."""
-    return table(spark, sf_dir, "pages").select("page_id", names.slide_name(F.col("url")).alias("slide_id"))
-
-
 @register("duplicate_ids", "select c_nationkey as slide_id, count(*) as n from customer group by 1 having count(*) > 1")
 def duplicate_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids that occur more than once."""
@@ -145,7 +113,7 @@ def duplicate_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("missing_slides", "select c_custkey as slide_id, case when n is null then 'skipped' else 'ok' end as status, coalesce(n, 0) as tiles from customer left join (select o_custkey, count(*) as n from orders group by 1) on o_custkey = c_custkey")
 def missing_slides(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Slides without tiles are skipped, not failed."""
+    """Slides joined with the number of their tiles."""
     n = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("slide_id")).agg(F.count("*").alias("n"))
     c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("slide_id"))
     return c.join(n, "slide_id", "left").select("slide_id", F.when(F.col("n").isNull(), "skipped").otherwise("ok").alias("status"), F.coalesce("n", F.lit(0)).alias("tiles"))
@@ -166,7 +134,7 @@ def slides_present(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("overlap_binary_label", "select l_orderkey, l_linenumber, (l_returnflag = 'R')::int as y from lineitem where l_quantity > 0.5 * 50")
 def overlap_binary_label(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tiles over the overlap threshold with a binary label."""
+    """Tiles over the overlap threshold with a binary label."""
     return table(spark, sf_dir, "lineitem").where(F.col("l_quantity") > 0.5 * 50).select("l_orderkey", "l_linenumber", (F.col("l_returnflag") == "R").cast("int").alias("y"))
 
 
