@@ -1 +1 @@
-"""Readers and writers."""
+"""Sources and sinks: folders, plain images, tables."""
