@@ -25,8 +25,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tilewright.llm.arrow_rows import with_made
-from tilewright.llm.spread import SENT_ROWS, spread_join
 from tilewright.operators.components import connected_components
+from tilewright.operators.spread import SENT_ROWS, spread_join
 from tilewright.workspace import Workspace, opened
 
 WORD = re.compile(r"\w+")

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tilewright.llm.spread import ROWS_A_PART, SENT_ROWS, spread_join
+from tilewright.operators.spread import ROWS_A_PART, SENT_ROWS, spread_join
 from tilewright.workspace import Workspace
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
