@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tilewright.operators import tiles as op
 from tilewright.plans.catalog import register
 from tilewright.plans.tables import table
+from tilewright.plans.tile_queries import raster
 
 # The pixels of a supplier's line items, as pale or as dark as its key says.
 PIXELS_SQL = """pixels as (select l_suppkey as tile_index, (case l_suppkey % 4 when 0 then 255 - l_partkey % 12 when 1 then l_partkey % 45 else l_partkey % 256 end)::int as r,
@@ -143,11 +144,10 @@ def derived_tile_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "mapped_class_areas",
-    "with pixels as (select x.range % 100 as px, x.range // 100 as py, (x.range * 7 // 300) % 5 as raw from range(10000) x), tiles as (select distinct l_suppkey as tile_index, l_partkey % 12 * 9 as x, l_suppkey % 12 * 9 as y from lineitem where l_linenumber = 1), m as (select unnest([1, 2, 3]) as raw, unnest([1, 1, 0]) as label) select tile_index, x, y, raw, label as annotation, count(*) as overlap_area, (least(x + 16, 100) - x) * (least(y + 16, 100) - y) as tile_area from tiles join pixels on px >= x and px < x + 16 and py >= y and py < y + 16 join m using (raw) where raw <> 0 group by tile_index, x, y, raw, label",
+    "with pixels as (select event_id % 100 as px, event_id // 100 % 100 as py, (event_id * 7 // 300) % 5 as raw from events), tiles as (select distinct l_suppkey as tile_index, l_partkey % 12 * 9 as x, l_suppkey % 12 * 9 as y from lineitem where l_linenumber = 1), m as (select unnest([1, 2, 3]) as raw, unnest([1, 1, 0]) as label) select tile_index, x, y, raw, label as annotation, count(*) as overlap_area, (least(x + 16, 100) - x) * (least(y + 16, 100) - y) as tile_area from tiles join pixels on px >= x and px < x + 16 and py >= y and py < y + 16 join m using (raw) where raw <> 0 group by tile_index, x, y, raw, label",
 )
 def mapped_class_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tiles against an annotation raster whose classes are mapped; classes without a label are left out, those with one label stay apart."""
-    raster = spark.range(10000).selectExpr("id % 100 as px", "id div 100 as py", "(id * 7 div 300) % 5 as raw")
     t = table(spark, sf_dir, "lineitem").where("l_linenumber = 1").selectExpr("l_suppkey as tile_index", "l_partkey % 12 * 9 as x", "l_suppkey % 12 * 9 as y").distinct()
     mapping = spark.createDataFrame([(1, 1), (2, 1), (3, 0)], "raw long, label int")
-    return op.mapped_areas(t, raster, mapping, 16, 100, 100)
+    return op.mapped_areas(t, raster(spark, sf_dir), mapping, 16, 100, 100)

@@ -79,7 +79,16 @@ def tile_limit_to_indices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.indexed(tiles(spark, sf_dir)).join(wanted, "tile_index", "left_semi").select("slide_id", "tile_index", "x", "y")
 
 
-PIXELS_SQL = "pixels as (select x.range % 100 as px, x.range // 100 as py, (x.range * 7 // 300) % 5 as raw from range(10000) x), grid as (select i.range as tile_index, (i.range % 12) * 9 as x, (i.range // 12) * 9 as y from range(144) i)"
+# A raster whose pixels are events, and tiles on it that are suppliers.
+PIXELS_SQL = "pixels as (select event_id % 100 as px, event_id // 100 % 100 as py, (event_id * 7 // 300) % 5 as raw from events), grid as (select s_suppkey as tile_index, (s_suppkey % 12) * 9 as x, (s_suppkey // 12 % 12) * 9 as y from supplier)"
+
+
+def raster(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").selectExpr("event_id % 100 as px", "event_id div 100 % 100 as py", "(event_id * 7 div 300) % 5 as raw")
+
+
+def grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "supplier").selectExpr("s_suppkey as tile_index", "(s_suppkey % 12) * 9 as x", "(s_suppkey div 12 % 12) * 9 as y")
 
 
 @register(
@@ -88,9 +97,7 @@ PIXELS_SQL = "pixels as (select x.range % 100 as px, x.range // 100 as py, (x.ra
 )
 def raster_class_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pixels of each raw class under each tile."""
-    pixels = spark.range(10000).selectExpr("id % 100 as px", "id div 100 as py", "(id * 7 div 300) % 5 as raw")
-    grid = spark.range(144).selectExpr("id as tile_index", "(id % 12) * 9 as x", "(id div 12) * 9 as y")
-    return op.class_areas(grid, pixels, 16, 100, 100)
+    return op.class_areas(grid(spark, sf_dir), raster(spark, sf_dir), 16, 100, 100)
 
 
 @register(
@@ -147,6 +154,6 @@ def stage_timings(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("score_heatmap", f"with {PIXELS_SQL}, cells as (select tile_index, unnest(range(x // 4, (x + 15) // 4 + 1)) as cx, y from grid), c2 as (select tile_index, cx, unnest(range(y // 4, (y + 15) // 4 + 1)) as cy from cells) select cx, cy, round(avg((tile_index * 31 % 97) / 97.0), 6) as score from c2 group by 1, 2")
 def score_heatmap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean score of the tiles over each cell."""
-    grid = spark.range(144).selectExpr("id as tile_index", "(id % 12) * 9 as x", "(id div 12) * 9 as y")
-    cells = grid.select("tile_index", "y", F.explode(F.expr("sequence(x div 4, (x + 15) div 4)")).alias("cx")).select("tile_index", "cx", F.explode(F.expr("sequence(y div 4, (y + 15) div 4)")).alias("cy"))
+    held = grid(spark, sf_dir).select("tile_index", "y", F.explode(F.expr("sequence(x div 4, (x + 15) div 4)")).alias("cx"))
+    cells = held.select("tile_index", "cx", F.explode(F.expr("sequence(y div 4, (y + 15) div 4)")).alias("cy"))
     return cells.groupBy("cx", "cy").agg(F.round(F.avg(F.col("tile_index") * 31 % 97 / 97.0), 6).alias("score"))
