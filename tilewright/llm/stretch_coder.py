@@ -12,7 +12,7 @@ SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u
 UNEVEN = re.compile(f"[{SPACE}] ")
 RUNS = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 #: Distinct stretches whose ids a worker remembers before it starts anew.
-REMEMBERED = 500_000
+REMEMBERED = 750_000
 
 
 def stretches(text: str) -> list[str]:
