@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 from functools import lru_cache
+from itertools import compress
 
 import numpy as np
 import regex
@@ -29,6 +30,8 @@ class LibraryCoder(StretchCoder):
         self.tokenizer = Tokenizer.from_file(path)
         added = {i: t.content for i, t in self.tokenizer.get_added_tokens_decoder().items()}
         self.special = re.compile("|".join(map(re.escape, added.values())) or "(?!)")
+        begins = {t[0] for t in added.values()}
+        self.begin = begins.pop() if len(begins) == 1 else ""  # a character of every special token; "" is in every string
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         self.n_bytes = np.zeros(1 + max([*vocabulary.values(), *added]), np.int64)
         for token, i in vocabulary.items():
@@ -48,15 +51,17 @@ class LibraryCoder(StretchCoder):
         """
         if len(self.words.seen) > REMEMBERED:
             self.words = IdStore()
-        plain = np.fromiter((p[0] == " " and not p[-1].isspace() and not FAR.search(p) and not self.special.search(p) for p in parts), bool, len(parts))
-        cut = CUT.findall("".join(p for p, ok in zip(parts, plain) if ok))
+        far, special, begin = FAR.search, self.special.search, self.begin
+        usual = [(p.isascii() and p.isprintable() or not far(p)) and p[0] == " " and not p[-1].isspace() and not (begin in p and special(p)) for p in parts]
+        plain, held = np.array(usual, bool), [*compress(parts, usual)]
+        cut = CUT.findall("".join(held))
         which = self.words.numbers(cut)
         if self.words.seen.new:
             self.words.put(*self.by_library(self.words.seen.new))
-        ends = np.cumsum([len(p) for p, ok in zip(parts, plain) if ok], dtype=np.int64)
-        words_to = np.searchsorted(np.cumsum([len(x) for x in cut], dtype=np.int64), ends, "right")  # no word crosses the end of a stretch
+        ends = np.cumsum([*map(len, held)], dtype=np.int64)
+        words_to = np.searchsorted(np.cumsum([*map(len, cut)], dtype=np.int64), ends, "right")  # no word crosses the end of a stretch
         ids_to = np.r_[0, np.cumsum(self.words.n[which])]
-        rest, n_rest = self.by_library([p for p, ok in zip(parts, plain) if not ok])
+        rest, n_rest = self.by_library([*compress(parts, ~plain)])
         lengths = np.zeros(len(parts), np.int64)
         lengths[plain] = np.diff(ids_to[np.r_[0, words_to]])
         lengths[~plain] = n_rest
@@ -71,13 +76,12 @@ class LibraryCoder(StretchCoder):
         A call for each would cost several times as much, so they are put together: one that starts with a space after one that doesn't end
         with white space never merges with it. The bytes of the tokens tell whose they are.
         """
-        joins = np.fromiter((p[0] == " " and not p[-1].isspace() for p in parts), bool, len(parts))
-        joined = [p for p, ok in zip(parts, joins) if ok]
+        joins = np.array([p[0] == " " and not p[-1].isspace() for p in parts], bool)
+        joined, alone = [*compress(parts, joins)], [*compress(parts, ~joins)]
         blocks = ["".join(joined[k : k + JOINED]) for k in range(0, len(joined), JOINED)]
-        alone = [p for p, ok in zip(parts, joins) if not ok]
         encoded = [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(blocks + alone, add_special_tokens=False)]
         flat = np.concatenate([np.zeros(0, np.int32), *encoded[: len(blocks)]])
-        ends = np.cumsum([len(p.encode()) for p in joined], dtype=np.int64)
+        ends = np.cumsum([len(p) if p.isascii() else len(p.encode()) for p in joined], dtype=np.int64)
         lengths = np.zeros(len(parts), np.int64)
         lengths[joins] = np.diff(np.r_[0, np.searchsorted(np.cumsum(self.n_bytes[flat]), ends, "right")])
         lengths[~joins] = [len(x) for x in encoded[len(blocks) :]]

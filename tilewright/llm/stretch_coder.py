@@ -15,16 +15,28 @@ RUNS = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 REMEMBERED = 750_000
 
 
-def stretches(text: str) -> list[str]:
+#: Before the key of a stretch that doesn't start with a space; no text of UTF-8 holds it.
+BARE = "\ud800"
+
+
+def stretch_keys(text: str) -> list[str]:
     """Cuts a text where no pre-token of a byte-level pattern can cross: between a character and white space after it.
 
-    With single spaces, cutting at every space does; else white space goes with what follows it.
+    With single spaces, cutting at every space does; else white space goes with what follows it. The key of a stretch that starts with a space is what
+    follows that space, so that most keys are cut out of the text as they are; that of another is marked by :data:`BARE`.
     """
     if UNEVEN.search(text):
-        return RUNS.findall(text)
-    first, *rest = text.split(" ")
-    parts = [" " + x for x in rest]
-    return [first, *parts] if first else parts
+        return [x[1:] if x[0] == " " else BARE + x for x in RUNS.findall(text)]
+    keys = text.split(" ")
+    if keys[0]:
+        keys[0] = BARE + keys[0]
+        return keys
+    return keys[1:]
+
+
+def stretch(key: str) -> str:
+    """The stretch of a key."""
+    return key[1:] if key[:1] == BARE else " " + key
 
 
 def gather(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray, which: np.ndarray) -> np.ndarray:
@@ -95,10 +107,10 @@ class StretchCoder:
         if len(self.store.seen) > REMEMBERED:
             self.forget()
         store = self.store
-        held = [store.numbers(stretches(t)) for t in texts]
+        held = [store.numbers(stretch_keys(t)) for t in texts]
         if store.seen.new:
             try:
-                store.put(*self.encode_new(store.seen.new))
+                store.put(*self.encode_new([*map(stretch, store.seen.new)]))
             except BaseException:
                 self.forget()  # numbers without ids must not stay
                 raise
