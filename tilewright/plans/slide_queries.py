@@ -159,10 +159,10 @@ def joined_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").where("url is not null and url <> ''").select("page_id", fn.join_path(F.col("url"), F.concat(F.lit("/feats/"), F.col("page_id").cast("string"), F.lit(".h5"))).alias("path"), fn.is_remote(F.col("url")).alias("remote"))
 
 
-@register("project_layout", "select p_partkey, 'reef/' || printf('%g', 0.25 * (1 + p_partkey % 4)::double) || '_' || (224 * (1 + p_partkey % 2)) || '_896_None/patches/' || p_partkey || '.h5' as patch_path, 'reef/' || printf('%g', 0.25 * (1 + p_partkey % 4)::double) || '_' || (224 * (1 + p_partkey % 2)) || '_896_None/feats/clip/h5/' || p_partkey || '.h5' as features_path from part")
+@register("project_layout", "select p_partkey, 'project/' || printf('%g', 0.25 * (1 + p_partkey % 4)::double) || '_' || (224 * (1 + p_partkey % 2)) || '_896_None/patches/' || p_partkey || '.h5' as patch_path, 'project/' || printf('%g', 0.25 * (1 + p_partkey % 4)::double) || '_' || (224 * (1 + p_partkey % 2)) || '_896_None/feats/clip/h5/' || p_partkey || '.h5' as features_path from part")
 def project_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where a project keeps the tiles and features of a slide."""
-    folder = fn.project_folder(F.lit("reef"), F.lit(0.25) * (1 + F.col("p_partkey") % 4), 224 * (1 + F.col("p_partkey") % 2), F.lit(896))
+    folder = fn.project_folder(F.lit("project"), F.lit(0.25) * (1 + F.col("p_partkey") % 4), 224 * (1 + F.col("p_partkey") % 2), F.lit(896))
     file = F.concat(F.col("p_partkey").cast("string"), F.lit(".h5"))
     return table(spark, sf_dir, "part").select("p_partkey", fn.join_path(folder, F.concat(F.lit("patches/"), file)).alias("patch_path"), fn.join_path(folder, F.concat(F.lit("feats/clip/h5/"), file)).alias("features_path"))
 
