@@ -2,7 +2,7 @@
 
 ``STAGES`` lists (name, function); a function takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and
 read again as the next one's docs. All but the last return the columns of ``documents``. What a stage has left in the shared folder is
-deleted when a later one begins, as its output is written by then.
+deleted when a later one begins, as its output is written by then; if it isn't, what it reads stays.
 
 Every stage takes nulls in any column, empty and very long texts, ties, repeated rows, empty tables and further columns, which go through:
 see each function.
@@ -30,8 +30,11 @@ def _stage(make: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, Da
     """``make`` as a stage: deletes what the stages before have left, and notes what this one leaves."""
 
     def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        while _left:
-            _left.pop().close()
+        read = docs.inputFiles()
+        for ws in [*_left]:
+            if not any(ws.root in file for file in read):  # docs that aren't written yet still need it
+                ws.close()
+                _left.remove(ws)
         with opened() as made:
             out = make(docs)
         _left.extend(made)
