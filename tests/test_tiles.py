@@ -34,6 +34,28 @@ def test_two_raw_classes_give_two_rows(spark):
     assert rows(tiles.class_areas(tile, pixels, 8, 8, 8)) == [(0, 1, 32, 64), (0, 2, 32, 64)]
 
 
+def joined_rows(df):
+    """Rows that the joins of ``df`` made when it was last collected."""
+    def walk(node):
+        name = node.nodeName()
+        inner = [node.executedPlan()] if name == "AdaptiveSparkPlan" else [node.plan()] if "QueryStage" in name else [node.children().apply(i) for i in range(node.children().size())]
+        own = node.metrics().apply("numOutputRows").value() if "Join" in name else 0
+        return own + sum(map(walk, inner))
+
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+def test_areas_of_many_tiles_and_pixels_at_one_place(spark):
+    tile = spark.range(1000).selectExpr("id as tile_index", "8 * (id % 2) as x", "0L as y")
+    pixels = spark.range(16 * 8 * 50).selectExpr("id % 16 as px", "id div 16 % 8 as py", "id div 128 % 2 as raw")
+    again = tile.unionByName(tile.where("tile_index = 0"))
+    areas = tiles.class_areas(again, pixels, 8, 16, 8)
+    assert rows(areas) == [(i, 1, 64 * 25 * (1 + (i == 0)), 64) for i in range(1000)]
+    assert joined_rows(areas) < 2000  # one for each tile, and for each pixel under a place; not 1,600 a tile
+    mapping = spark.createDataFrame([(1, 4)], "raw long, label int")
+    assert rows(tiles.mapped_areas(tile.where("tile_index < 2"), pixels, mapping, 8, 16, 8)) == [(i, 8 * i, 0, 1, 4, 1600, 64) for i in (0, 1)]
+
+
 def test_quotas(spark):
     s = lambda *n: spark.createDataFrame([(0, i, k) for i, k in enumerate(n)], "sample_id long, slide_id long, size long")
     assert [r["quota"] for r in sampling.proportional_quotas(s(60, 40), 20).orderBy("slide_id").collect()] == [12, 8]

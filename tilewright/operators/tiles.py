@@ -50,15 +50,19 @@ def coarser(tiles: DataFrame, native: int) -> DataFrame:
 def class_areas(tiles: DataFrame, pixels: DataFrame, size: int, width: int, height: int) -> DataFrame:
     """``(tile_index, raw, overlap_area, tile_area)``: pixels of each raw class under each tile of ``tiles(tile_index, x, y)``.
 
-    Pixels ``(px, py, raw)`` meet tiles by grid buckets, so the join has an equality on both axes. Class 0 is background. Areas are clipped
-    to the image. Classes that map to one label stay apart.
+    Rows of ``pixels(px, py, raw)`` are counted by place and class first, and these counts meet the distinct places of tiles by grid buckets, so
+    the join has an equality on both axes and neither many tiles at a place nor many rows of a pixel multiply its pairs. A tile that is
+    listed twice counts its pixels twice. Class 0 is background. Areas are clipped to the image. Classes that map to one label stay apart.
     """
     buckets = lambda c: F.explode(F.array(F.expr(f"{c} div {size}"), F.expr(f"{c} div {size}") + 1))
-    spread = tiles.select("tile_index", "x", "y", buckets("x").alias("bx")).select("*", buckets("y").alias("by"))
-    placed = pixels.where("raw <> 0").withColumns({"bx": F.expr(f"px div {size}"), "by": F.expr(f"py div {size}")})
+    counts = pixels.where("raw <> 0").groupBy("px", "py", "raw").agg(F.count("*").alias("n"))
+    placed = counts.withColumns({"bx": F.expr(f"px div {size}"), "by": F.expr(f"py div {size}")})
+    spread = tiles.select("x", "y").distinct().select("x", "y", buckets("x").alias("bx")).select("*", buckets("y").alias("by"))
     under = spread.join(placed, ["bx", "by"]).where(f"px >= x and px < x + {size} and py >= y and py < y + {size}")
+    found = under.groupBy("x", "y", "raw").agg(F.sum("n").alias("n"))
     area = (F.least(F.col("x") + size, F.lit(width)) - F.col("x")) * (F.least(F.col("y") + size, F.lit(height)) - F.col("y"))
-    return under.groupBy("tile_index", "x", "y", "raw").agg(F.count("*").alias("overlap_area")).select("tile_index", "raw", "overlap_area", area.cast("long").alias("tile_area"))
+    held = tiles.groupBy("tile_index", "x", "y").agg(F.count("*").alias("times"))
+    return held.join(found, ["x", "y"]).select("tile_index", "raw", (F.col("n") * F.col("times")).alias("overlap_area"), area.cast("long").alias("tile_area"))
 
 
 def otsu(histogram: DataFrame) -> DataFrame:
