@@ -3,7 +3,8 @@ import math
 import numpy as np
 import pytest
 
-from tilewright.operators import metrics, ranking, sampling
+from tilewright.operators import distances, metrics, ranking, sampling
+from tilewright.workspace import Workspace
 
 
 def one(df):
@@ -90,6 +91,58 @@ def test_silhouette_and_importance(spark):
     assert [tuple(r) for r in metrics.importance(signed, 2).collect()] == [(1, 2.0), (2, 1.0)]
 
 
+def silhouette_by_pairs(ids, vectors, classes):
+    """Every distance by itself, as the SQL has it; vectors that are None or of another width have none."""
+    far = {}
+    for i, v, b in zip(ids, vectors, classes):
+        far.setdefault((i, b), {})
+        for j, w, c in zip(ids, vectors, classes):
+            if i != j and v is not None and w is not None and len(v) == len(w):
+                far[i, b].setdefault(c, []).append(np.sqrt(((np.array(v) - np.array(w)) ** 2).sum()))
+    each = []
+    for (_, b), of in far.items():
+        own, other = [np.mean(d) for c, d in of.items() if c == b], [np.mean(d) for c, d in of.items() if c != b]
+        if not own:
+            each.append(0.0)
+        elif other:
+            top = max(own[0], min(other))
+            each.append((min(other) - own[0]) / top if top else 0.0)
+    return np.mean(each)
+
+
+def test_silhouette_of_more_rows_than_a_sample_has(spark):
+    rng = np.random.default_rng(5)
+    b = rng.integers(0, 3, 5600)
+    x = rng.standard_normal((5600, 4)) + b[:, None]
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2))
+    to = np.stack([d[:, b == c].sum(axis=1) / (np.sum(b == c) - (b == c)) for c in range(3)], axis=1)
+    own = to[np.arange(5600), b]
+    to[np.arange(5600), b] = np.inf
+    want = ((to.min(axis=1) - own) / np.maximum(own, to.min(axis=1))).mean()
+    rows = spark.createDataFrame([(i, v.tolist(), int(c)) for i, (v, c) in enumerate(zip(x, b))], "id long, v array<double>, b int")
+    assert abs(one(metrics.silhouette(rows)) - want) < 1e-9
+
+
+def test_silhouette_in_small_blocks_of_odd_rows(spark, monkeypatch):
+    monkeypatch.setattr(distances, "BLOCK_ROWS", 7)
+    monkeypatch.setattr(distances, "HELD_SUMS", 20)
+    rng = np.random.default_rng(6)
+    ids = [f"t{i}" for i in range(60)] + ["t0", "t1", "t2"]  # ids that come again
+    vectors = [(1e6 + rng.standard_normal(3)).tolist() for _ in ids]  # far from the origin
+    classes = [i % 4 for i in range(60)] + [0, 1, 2]
+    for i in (5, 9, 13, 17, 18):
+        vectors[i] = vectors[1]  # copies
+    vectors[20], vectors[21], vectors[22], vectors[23], vectors[27] = None, [1.0, 2.0], [1.5, 2.0], [3.0], [0.5, 0.5]
+    classes[30] = 7  # alone in its class
+    nulls = [v if k != 40 else [*v[:2], None] for k, v in enumerate(vectors)]
+    vectors[40] = None
+    rows = spark.createDataFrame(list(zip(ids, nulls, classes)), "id string, v array<double>, b int")
+    assert abs(one(metrics.silhouette(rows)) - silhouette_by_pairs(ids, vectors, classes)) < 1e-9
+    far = spark.createDataFrame([(0, [1.0], 0), (1, [3.0], 0), (2, [float("inf")], 1), (3, [1e200], 2)], "id long, v array<double>, b int")
+    told = {(r["i"], r["c"]): r["s"] for r in distances.class_distances(Workspace(spark, "far"), far.selectExpr("id as i", "v", "b")).groupBy("i", "c").sum("s").withColumnRenamed("sum(s)", "s").collect()}
+    assert told[0, 0] == 2 and told[0, 1] == told[1, 2] == told[2, 0] == float("inf") and (2, 1) not in told
+
+
 def test_majority_and_errors(spark):
     rows = spark.createDataFrame([(0, 1, -1), (0, 1, 4), (0, 2, 4), (1, 2, -1)], "slide_id int, a int, b int")
     assert [tuple(r) for r in metrics.slide_clusters(rows).collect()] == [(0, 1, 4)]

@@ -10,7 +10,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tilewright.functions.vectors import as_double
+from tilewright.operators.distances import class_distances
 from tilewright.operators.ranking import with_running_sums
+from tilewright.workspace import Workspace
 
 NAN = float("nan")
 
@@ -27,7 +29,7 @@ def cumulative(rows: DataFrame) -> DataFrame:
     return run.select("p", "pos", "n", F.col("run_pos").alias("tp"), F.col("run_n").alias("seen"), "all_pos", F.col("all_n").alias("total"))
 
 
-def _over(a: Column, b: Column, empty: float = NAN) -> Column:
+def _over(a: Column, b: Column, empty: float | None = NAN) -> Column:
     """``a / b``, or ``empty`` where b is 0 or null."""
     return F.when(b != 0, a / b).otherwise(F.lit(empty))
 
@@ -158,25 +160,24 @@ def purity(rows: DataFrame) -> DataFrame:
 def silhouette(rows: DataFrame, key: str = "id", vector: str = "v") -> DataFrame:
     """``(silhouette)``: mean of ``(b - a) / max(a, b)`` by euclidean distance over rows ``(id, v, b)`` that aren't noise; 0 for a row alone in its cluster.
 
-    NaN with fewer than two clusters, or fewer rows than clusters and one. The rows are a sample of stated size (:data:`SILHOUETTE_ROWS`
-    at most, else an error), as the measure compares all with all.
+    NaN with fewer than two clusters, or fewer rows than clusters and one. All rows are compared with all, block by block
+    (:func:`class_distances`), so the time grows with their square; a caller that wants an estimate gives a sample.
     """
     held = without_noise(rows).select(F.col(key).alias("i"), as_double(vector).alias("v"), "b")
     n, k = held.agg(F.count("*"), F.countDistinct("b")).first()
-    if n > SILHOUETTE_ROWS:
-        raise ValueError(f"take a sample of {SILHOUETTE_ROWS} rows first")
     if k < 2 or n < k + 1:
         return rows.sparkSession.createDataFrame([(NAN,)], "silhouette double")
-    other = held.select(F.col("i").alias("j"), F.col("v").alias("w"), F.col("b").alias("c"))
-    far = F.sqrt(F.aggregate(F.zip_with("v", "w", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x))
-    pairs = held.crossJoin(F.broadcast(other)).where("i <> j").select("i", "b", "c", far.alias("d"))
-    to = pairs.groupBy("i", "b", "c").agg(F.avg("d").alias("d"))
+    ws = Workspace(rows.sparkSession, "silhouette")
+    far = ws.save(class_distances(ws, held), "sums")
+    ws.keep("sums")
+    alone = held.where("i is not null").select("i", "b", F.lit(None).cast(held.schema["b"].dataType).alias("c"), F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("s"))  # rows at no distance count too
+    to = far.unionByName(alone).groupBy("i", "b", "c").agg(_over(F.sum("s"), F.sum("n"), None).alias("d"))
     each = to.groupBy("i").agg(F.max(F.when(F.col("b") == F.col("c"), F.col("d"))).alias("own"), F.min(F.when(F.col("b") != F.col("c"), F.col("d"))).alias("next"))
     value = F.when(F.col("own").isNull(), 0.0).otherwise(_over(F.col("next") - F.col("own"), F.greatest("own", "next"), 0.0))
     return each.agg(F.avg(value).alias("silhouette"))
 
 
-#: Rows that a silhouette compares at most; the usual sample size of the measure.
+#: Rows of the sample whose silhouette the clustering benchmark tells; the usual sample size of the measure.
 SILHOUETTE_ROWS = 5000
 
 
