@@ -56,6 +56,15 @@ def test_areas_of_many_tiles_and_pixels_at_one_place(spark):
     assert rows(tiles.mapped_areas(tile.where("tile_index < 2"), pixels, mapping, 8, 16, 8)) == [(i, 8 * i, 0, 1, 4, 1600, 64) for i in (0, 1)]
 
 
+def test_mapped_areas_of_many_tiles_and_pixels_at_one_place(spark):
+    tile = spark.range(1000).selectExpr("id as tile_index", "8 * (id % 2) as x", "0L as y")
+    pixels = spark.range(16 * 8 * 50).selectExpr("id % 16 as px", "id div 16 % 8 as py", "id div 128 % 5 as raw")
+    mapping = spark.createDataFrame([(1, 1), (2, 1), (3, 0)], "raw long, label int")
+    areas = tiles.mapped_areas(tile, pixels, mapping, 8, 16, 8)
+    assert rows(areas) == sorted((i, 8 * (i % 2), 0, raw, label, 640, 64) for i in range(1000) for raw, label in ((1, 1), (2, 1), (3, 0)))
+    assert joined_rows(areas) < 15000  # the mapped pixels once, three rows a tile twice, and the pixels of each place; not 1,920 a tile
+
+
 def test_quotas(spark):
     s = lambda *n: spark.createDataFrame([(0, i, k) for i, k in enumerate(n)], "sample_id long, slide_id long, size long")
     assert [r["quota"] for r in sampling.proportional_quotas(s(60, 40), 20).orderBy("slide_id").collect()] == [12, 8]
